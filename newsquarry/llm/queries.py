@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsquarry.llm.boilerplate import find_furniture
 from newsquarry.llm.canonical import noncanonical_fields
+from newsquarry.llm.residue import find_residue, mine_templates
+from newsquarry.llm.site_lines import repeated_lines
 from newsquarry.session import table
 
 QUERIES: dict = {}
@@ -33,3 +36,41 @@ def p1_kinds(spark: SparkSession, root: str) -> DataFrame:
     """How many articles differ in which way, by field."""
     found = noncanonical_fields(table(spark, root, "articles"), "article_id", ["title", "sapo", "body"])
     return found.groupBy("field_name", "kind").agg(F.count(F.lit(1)).alias("articles"))
+
+
+@query("p3_found")
+def p3_found(spark: SparkSession, root: str) -> DataFrame:
+    return find_residue(table(spark, root, "articles"), "article_id", "body").select("article_id").distinct()
+
+
+@query("p3_templates")
+def p3_templates(spark: SparkSession, root: str) -> DataFrame:
+    """The mined message templates with their counts and classes."""
+    return mine_templates(table(spark, root, "articles"), "body")
+
+
+@query("p5_found")
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    return find_furniture(table(spark, root, "articles"), "article_id", "body")
+
+
+_SITE = "regexp_replace(lower(trim(domain)), '^www\\.', '')"
+_P7_LINES = f"""WITH bodies AS (SELECT DISTINCT article_id, {_SITE} AS site, body FROM articles WHERE length({_SITE}) > 0 AND regexp_matches(body, '\\S')),
+numbered AS (SELECT article_id, site, unnest(string_split(body, chr(10))) AS line, CAST(unnest(generate_series(0, len(string_split(body, chr(10))) - 1)) AS INTEGER) AS line_no FROM bodies),
+lines AS (SELECT article_id, site, line_no, regexp_replace(lower(line), '[\\s\\p{{Z}}\\p{{Nd}}]+', '', 'g') AS k FROM numbered WHERE regexp_matches(line, '[^\\s\\p{{Z}}]')),
+sizes AS (SELECT site, count(DISTINCT article_id) AS n FROM bodies GROUP BY site),
+counts AS (SELECT site, k, count(DISTINCT article_id) AS docs FROM lines GROUP BY site, k),
+confirmed AS (SELECT site, k, docs FROM counts JOIN sizes USING (site) WHERE docs >= 4 AND docs * 20 >= n)
+"""
+
+
+@query("p7_found", _P7_LINES + "SELECT DISTINCT article_id, line_no FROM lines JOIN confirmed USING (site, k)")
+def p7_found(spark: SparkSession, root: str) -> DataFrame:
+    return repeated_lines(table(spark, root, "articles"), "article_id", "domain", "body").select("article_id", "line_no").distinct()
+
+
+@query("p7_sites", _P7_LINES + "SELECT site, count(DISTINCT k) AS repeated_lines, count(DISTINCT article_id) AS articles FROM lines JOIN confirmed USING (site, k) GROUP BY site")
+def p7_sites(spark: SparkSession, root: str) -> DataFrame:
+    """By site: how many different lines are repeated, and how many articles hold one."""
+    found = repeated_lines(table(spark, root, "articles"), "article_id", "domain", "body")
+    return found.groupBy("site").agg(F.countDistinct("line_key").alias("repeated_lines"), F.countDistinct("article_id").alias("articles"))
