@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from newsquarry.llm.boilerplate import find_furniture
 from newsquarry.llm.canonical import noncanonical_fields
-from newsquarry.llm.residue import find_residue, mine_templates
+from newsquarry.llm.neardup import expand, near_pairs
+from newsquarry.llm.residue import find_residue, mine_templates, report_text
 from newsquarry.llm.site_lines import repeated_lines
 from newsquarry.session import table
 
@@ -74,3 +75,9 @@ def p7_sites(spark: SparkSession, root: str) -> DataFrame:
     """By site: how many different lines are repeated, and how many articles hold one."""
     found = repeated_lines(table(spark, root, "articles"), "article_id", "domain", "body")
     return found.groupBy("site").agg(F.countDistinct("line_key").alias("repeated_lines"), F.countDistinct("article_id").alias("articles"))
+
+
+@query("p4_found")
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    members, pairs = near_pairs(table(spark, root, "articles"), "article_id", "body", size=3, similarity=0.6, main_text=report_text)
+    return expand(members, pairs, "article_id")
