@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from newsquarry.llm.boilerplate import find_furniture
 from newsquarry.llm.canonical import noncanonical_fields
+from newsquarry.llm.leakage import leaks
+from newsquarry.llm.mixture import mix
 from newsquarry.llm.neardup import expand, near_pairs
 from newsquarry.llm.residue import find_residue, mine_templates, report_text
 from newsquarry.llm.site_lines import repeated_lines
+from newsquarry.llm.truncation import cut_values
 from newsquarry.session import table
 
 QUERIES: dict = {}
@@ -81,3 +84,47 @@ def p7_sites(spark: SparkSession, root: str) -> DataFrame:
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
     members, pairs = near_pairs(table(spark, root, "articles"), "article_id", "body", size=3, similarity=0.6, main_text=report_text)
     return expand(members, pairs, "article_id")
+
+
+def _cut_values(spark: SparkSession, root: str) -> DataFrame:
+    return cut_values(table(spark, root, "articles"), "article_id", ["description", "sapo"], "source", "domain", ["body", "description", "sapo"])
+
+
+@query("p6_found")
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    return _cut_values(spark, root).where("is_cut").select("article_id", "field_name").distinct()
+
+
+@query("p6_rates")
+def p6_rates(spark: SparkSession, root: str) -> DataFrame:
+    """By source and field: values, cut values and their share, each article once."""
+    values = _cut_values(spark, root).groupBy("source", "field_name", "article_id").agg(F.bool_or("is_cut").alias("is_cut"))
+    rates = values.groupBy("source", "field_name").agg(F.count(F.lit(1)).alias("articles"), F.count_if("is_cut").alias("cut_articles"))
+    return rates.withColumn("share", F.round(F.col("cut_articles") / F.col("articles"), 6))
+
+
+def _leaks(spark: SparkSession, root: str) -> DataFrame:
+    return leaks(table(spark, root, "documents"), "doc_id", "text", table(spark, root, "eval_items"), "item_id", "item_text")
+
+
+@query("p8_found")
+def p8_found(spark: SparkSession, root: str) -> DataFrame:
+    return _leaks(spark, root).select("doc_id", "item_id")
+
+
+@query("p8_items")
+def p8_items(spark: SparkSession, root: str) -> DataFrame:
+    """By item that leaked: the documents that hold it and the longest run of its words."""
+    return _leaks(spark, root).groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"), F.max("words").alias("longest_run"))
+
+
+@query("p9_mix")
+def p9_mix(spark: SparkSession, root: str) -> DataFrame:
+    """The mixture: each used document with the number of its uses."""
+    return mix(table(spark, root, "documents"), "doc_id", "source", "text", table(spark, root, "mix_targets"))[0]
+
+
+@query("p9_shares")
+def p9_shares(spark: SparkSession, root: str) -> DataFrame:
+    """Target and actual shares of the mixture by source."""
+    return mix(table(spark, root, "documents"), "doc_id", "source", "text", table(spark, root, "mix_targets"))[1]
