@@ -257,7 +257,7 @@ def near_pairs(df: DataFrame, key: str, text: str, size: int = 5, similarity: fl
 
     routed = plain.repartition("band", "p", "q").sortWithinPartitions("band", "p", "q")
     candidates = cut(routed.mapInArrow(traverse, "a long, b long").distinct())
-    sets = _sets_of(spark, some, candidates, prepared, size)
+    sets = _sets_of(some, members, candidates, prepared, size)
     both = candidates.join(sets.select(F.col("doc").alias("a"), F.col("runs").alias("ra")), "a").join(sets.select(F.col("doc").alias("b"), F.col("runs").alias("rb")), "b").select("a", "b", "ra", "rb")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,31 +282,31 @@ def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def _sets_of(spark, some: DataFrame, candidates: DataFrame, prepared, size: int) -> DataFrame:
-    """(doc, runs) of the candidate texts: their sets of word runs as sorted 32-bit hashes, from a second look at the texts."""
+def _sets_of(some: DataFrame, members: DataFrame, candidates: DataFrame, prepared, size: int) -> DataFrame:
+    """(doc, runs) of the candidate texts: their sets of word runs as sorted 32-bit hashes.
+
+    The texts are looked at a second time, but only those of one key for each candidate.
+    """
     ids = candidates.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    listed = small_enough(ids, MAX_BROADCAST)
-    known = spark.sparkContext.broadcast(np.array(sorted(r[0] for r in listed), np.int64)) if listed is not None else None
+    chosen = members.join(ids, "doc", "left_semi").groupBy("doc").agg(F.min("k").alias("k")).select(F.xxhash64("k").alias("h")).distinct()
+    chosen = cut(chosen)
+    listed = small_enough(chosen, MAX_BROADCAST)
+    known = some.sparkSession.sparkContext.broadcast(np.array(sorted(r[0] for r in listed), np.int64)) if listed is not None else None
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for b in batches:
+            if known is not None:
+                b = b.filter(pa.array(np.isin(b.column(2).to_numpy(), known.value)))
             docs, out = [], []
             for _, words in prepared(b.column(1).to_pylist()):
-                doc = _doc_id(words)
-                if known is not None:
-                    at = np.searchsorted(known.value, doc)
-                    if at == len(known.value) or known.value[at] != doc or doc in seen:
-                        continue
-                    seen.add(doc)
-                docs.append(doc)
+                docs.append(_doc_id(words))
                 out.append(np.unique((shingles(words, size) >> np.uint64(32)).astype(np.uint32)).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(out, pa.binary())], ["doc", "runs"])
 
-    sets = some.mapInArrow(runs, "doc long, runs binary")
+    rows = some.withColumn("h", F.xxhash64("k"))
     if known is None:
-        sets = sets.join(ids, "doc", "left_semi")
-    return sets.dropDuplicates(["doc"])
+        rows = rows.join(chosen, "h", "left_semi").select("k", "t", "h")
+    return rows.mapInArrow(runs, "doc long, runs binary").join(ids, "doc", "left_semi").dropDuplicates(["doc"])
 
 
 def expand(members: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
