@@ -12,6 +12,7 @@ from newsquarry.llm.mixture import mix
 from newsquarry.llm.neardup import expand, near_pairs
 from newsquarry.llm.residue import find_residue, mine_templates, report_text
 from newsquarry.llm.site_lines import repeated_lines
+from newsquarry.llm.toxicity import reviewed, scores, train
 from newsquarry.llm.truncation import cut_values
 from newsquarry.session import table
 
@@ -128,3 +129,28 @@ def p9_mix(spark: SparkSession, root: str) -> DataFrame:
 def p9_shares(spark: SparkSession, root: str) -> DataFrame:
     """Target and actual shares of the mixture by source."""
     return mix(table(spark, root, "documents"), "doc_id", "source", "text", table(spark, root, "mix_targets"))[1]
+
+
+def _scores(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents")
+    rows = reviewed(docs, "doc_id", "text", table(spark, root, "review_labels"), "verdict", ("abusive", "hateful", "sexual"), ("clean",))
+    return scores(docs, "doc_id", "text", train(rows))
+
+
+@query("p10_found")
+def p10_found(spark: SparkSession, root: str) -> DataFrame:
+    return _scores(spark, root).where("score >= 0.5").select("doc_id").distinct()
+
+
+@query("p10_scores")
+def p10_scores(spark: SparkSession, root: str) -> DataFrame:
+    """The score of every document."""
+    return _scores(spark, root).select("doc_id", F.round("score", 4).alias("score"))
+
+
+@query("p10_rates")
+def p10_rates(spark: SparkSession, root: str) -> DataFrame:
+    """By source: documents, flagged documents and their share."""
+    by = table(spark, root, "documents").select("doc_id", "source").join(_scores(spark, root), "doc_id")
+    rates = by.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("score") >= 0.5).alias("flagged"))
+    return rates.withColumn("rate", F.round(F.col("flagged") / F.col("documents"), 6))
