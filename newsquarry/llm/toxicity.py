@@ -69,7 +69,7 @@ _SPACED = re.compile(r"(?<![^\W_])[^\W_](?: {1,3}[^\W_]){2,}(?![^\W_])")
 _LONG = re.compile(r"([^\W\d_])\1{2,}")
 _LEET = re.compile(r"[^\W_]*[0-9@$][^\W_@$]*")
 _MASKED = re.compile(r"[^\W_][*#]{1,}[^\W_]")
-_SUSPECT = re.compile(r"\w[*#]+\w|[^\W\d_][.\-_·][^\W\d_][.\-_·\s]|(?<![^\W_])[^\W_] {1,3}[^\W_] {1,3}[^\W_](?![^\W_])|([^\W\d_])\1\1|[^\W\d_][0134 57@$][^\W\d_]|(?<!\S)[5170@$4][^\W\d_]")
+_SUSPECT = re.compile(r"\w[*#]+\w|[^\W\d_][.\-_·][^\W\d_][.\-_·\s]|(?<![^\W_])[^\W_] {1,3}[^\W_] {1,3}[^\W_](?![^\W_])|([^\W\d_])\1\1|[^\W\d_][013457@$][^\W\d_]|(?<!\S)[5170@$4][^\W\d_]")
 
 
 def _fold(text: str) -> str:
@@ -167,14 +167,13 @@ def _sentence(s: str) -> dict[str, float] | None:
     """Features of a sentence, None if it holds no phrase that could matter."""
     lex = _lexicon()
     text, masked, starred = unmask(s)
-    accented = any(ord(c) > 127 for c in text)
     hits: list[tuple[int, int, str]] = [(at, at + 1, kind) for at, kind in starred]
     for end, (size, kinds) in lex.auto.iter(text):
         a, b = end - size + 1, end + 1
         if (a and text[a - 1].isalnum()) or (b < len(text) and text[b].isalnum()):
             continue
         for kind, flat in kinds:
-            if flat and accented:
+            if flat and not text[max(0, a - 12) : b + 12].isascii():  # unaccented spellings count only in unaccented surroundings
                 continue
             hits.append((a, b, kind))
     hard = [h for h in hits if h[2] in _HARD]
