@@ -6,23 +6,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsquarry.functions.dates import month_chunks, week_chunks
+from newsquarry.session import small_enough
+
+MAX_BACKENDS = 1_000
+
+
+def _backends(backends: DataFrame) -> Column:
+    """Array of (backend, dated), read by the driver as there are few."""
+    rows = small_enough(backends.select("backend", "dated").distinct().orderBy("backend", "dated"), MAX_BACKENDS)
+    if rows is None:
+        raise ValueError(f"more than {MAX_BACKENDS} backends")
+    return F.array(*[F.struct(F.lit(r["backend"]).alias("backend"), F.lit(r["dated"]).alias("dated")) for r in rows])
 
 
 def keyword_tasks(backends: DataFrame, terms: DataFrame, start: Column, end: Column) -> DataFrame:
     """One task for each backend, term and month; a backend that can't filter by date gets one span.
 
-    ``backends`` has (backend, dated), ``terms`` (term, group_key, ix).  The grid is the purpose here: its size is that of its result.
+    ``backends`` has (backend, dated), ``terms`` (term, group_key, ix).  Terms stay where they are; backends and spans are laid out beside each.
     """
-    spans = F.when(F.col("dated"), month_chunks(start, end)).otherwise(F.array(F.struct(start.alias("after"), end.alias("before"))))
-    grid = backends.join(F.broadcast(terms.limit(100_000))).withColumn("span", F.explode(spans))
-    rows = grid.select("backend", "group_key", F.col("ix").alias("sub_query_ix"), F.col("term").alias("query_text"), F.col("span.after").alias("after_date"), F.col("span.before").alias("before_date"))
+    grid = terms.withColumn("b", F.explode(_backends(backends)))
+    spans = F.when(F.col("b.dated"), month_chunks(start, end)).otherwise(F.array(F.struct(start.alias("after"), end.alias("before"))))
+    rows = grid.withColumn("span", F.explode(spans)).select(F.col("b.backend").alias("backend"), "group_key", F.col("ix").alias("sub_query_ix"), F.col("term").alias("query_text"), F.col("span.after").alias("after_date"), F.col("span.before").alias("before_date"))
     return rows.withColumn("task_id", F.concat_ws(":", "backend", "group_key", "sub_query_ix", "after_date"))
 
 
 def alias_tasks(backends: DataFrame, names: DataFrame, start: Column, end: Column) -> DataFrame:
     """One task for each backend, company name and month; ``names`` has (ticker, alias, ix)."""
-    grid = backends.join(F.broadcast(names.limit(1_000_000))).withColumn("span", F.explode(month_chunks(start, end)))
-    rows = grid.select("backend", "ticker", F.col("ix").alias("sub_query_ix"), F.col("alias").alias("query_text"), F.col("span.after").alias("after_date"), F.col("span.before").alias("before_date"))
+    grid = names.withColumn("b", F.explode(_backends(backends))).withColumn("span", F.explode(month_chunks(start, end)))
+    rows = grid.select(F.col("b.backend").alias("backend"), "ticker", F.col("ix").alias("sub_query_ix"), F.col("alias").alias("query_text"), F.col("span.after").alias("after_date"), F.col("span.before").alias("before_date"))
     return rows.withColumn("task_id", F.concat_ws(":", "backend", F.lit("alias"), "ticker", "sub_query_ix", "after_date", "before_date"))
 
 
