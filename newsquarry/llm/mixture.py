@@ -16,7 +16,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,8 +136,6 @@ def mix(docs: DataFrame, key: str, source: str, text: str, targets: DataFrame, r
     # a source may have most documents: its rows are spread over the blocks of its permutation
     at = F.xxhash64(F.lit(seed), F.col("k"))
     placed = some.join(budgets, "source").withColumn("at", at).withColumn("block", F.floor(F.shiftrightunsigned("at", 1) / F.lit(float(1 << 63)) * F.col("blocks")))
-    from pyspark.sql import Window
-
     per_block = placed.groupBy("source", "block").agg(F.sum("n_tokens").alias("n"))
     # blocks are a thousandth of the documents; a source's blocks are added up in order
     w = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -153,6 +151,6 @@ def mix(docs: DataFrame, key: str, source: str, text: str, targets: DataFrame, r
     used = uses.groupBy("source").agg(F.count(F.lit(1)).alias("used_docs"), F.sum(F.col("n_tokens") * F.col("uses")).alias("used_tokens"), F.max("uses").alias("most_uses"))
     have = some.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_tokens").alias("tokens"))
     report = goal.join(have, "source", "left").join(used, "source", "left").na.fill(0, ["docs", "tokens", "used_docs", "used_tokens", "most_uses"])
-    whole = used.agg(F.sum("used_tokens").alias("_all"))
-    report = report.join(F.broadcast(whole)).withColumn("actual_share", F.coalesce(F.col("used_tokens") / F.col("_all"), F.lit(0.0))).drop("_all")
+    everything = used.agg(F.sum("used_tokens").alias("n")).first()["n"] or 0
+    report = report.withColumn("actual_share", F.col("used_tokens") / F.lit(everything) if everything else F.lit(0.0))
     return uses.withColumnRenamed("k", key), report.select("source", "target_share", "max_repeats", "docs", "tokens", "used_docs", "used_tokens", "actual_share", "most_uses")
