@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from newsquarry.operators.graph import components
 from newsquarry.session import cut, small_enough
 
 #: MinHash values a text, and how many make a band.  At similarity 0.7 a pair shares no band once in 6,600.
@@ -315,3 +316,18 @@ def expand(members: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
     different = pairs.join(a, "a").join(b, "b").select("x", "y")
     equal = a.join(b, F.col("a") == F.col("b")).where("x < y").select("x", "y")
     return different.unionByName(equal).where("x <> y").select(F.least("x", "y").alias(f"{key}_a"), F.greatest("x", "y").alias(f"{key}_b")).distinct()
+
+
+def classes(members: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
+    """(key, class_id, links): one row a key; class_id is the least key among those linked to it through any number of
+    pairs or equal texts, links the number of other keys directly so.  Copies are counted, not written out.
+    """
+    sizes = members.groupBy("doc").agg(F.count(F.lit(1)).alias("copies"), F.min("k").alias("least"))
+    pairs = cut(pairs)
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    linked = both.join(sizes.select(F.col("doc").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others")).withColumnRenamed("a", "doc")
+    parts = components(pairs).withColumnRenamed("node", "doc")
+    docs = sizes.join(linked, "doc", "left").join(parts, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    names = docs.groupBy("component").agg(F.min("least").alias("class_id"))
+    docs = docs.join(names, "component").select("doc", "class_id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    return members.join(docs, "doc").groupBy("k").agg(F.min("class_id").alias("class_id"), F.sum("links").alias("links")).withColumnRenamed("k", key)

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from newsquarry.llm.boilerplate import find_furniture
 from newsquarry.llm.canonical import noncanonical_fields
 from newsquarry.llm.leakage import leaks
-from newsquarry.llm.mixture import mix
-from newsquarry.llm.neardup import expand, near_pairs
+from newsquarry.llm.mixture import mix, with_tokens
+from newsquarry.llm.neardup import classes, expand, near_pairs
 from newsquarry.llm.residue import find_residue, mine_templates, report_text
 from newsquarry.llm.site_lines import repeated_lines
 from newsquarry.llm.toxicity import reviewed, scores, train
@@ -81,10 +81,27 @@ def p7_sites(spark: SparkSession, root: str) -> DataFrame:
     return found.groupBy("site").agg(F.countDistinct("line_key").alias("repeated_lines"), F.countDistinct("article_id").alias("articles"))
 
 
+def _near(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    return near_pairs(table(spark, root, "articles"), "article_id", "body", size=3, similarity=0.6, main_text=report_text)
+
+
 @query("p4_found")
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
-    members, pairs = near_pairs(table(spark, root, "articles"), "article_id", "body", size=3, similarity=0.6, main_text=report_text)
-    return expand(members, pairs, "article_id")
+    return expand(*_near(spark, root), "article_id")
+
+
+@query("p4_classes")
+def p4_classes(spark: SparkSession, root: str) -> DataFrame:
+    """By article: the group of near-duplicates it belongs to and how many others it is linked with."""
+    return classes(*_near(spark, root), "article_id")
+
+
+@query("p9_tempered")
+def p9_tempered(spark: SparkSession, root: str) -> DataFrame:
+    """Shares of a mixture as large as all documents: the targets are tempered until the limits of repetition hold."""
+    docs = table(spark, root, "documents")
+    size = with_tokens(docs.select("text"), "text").agg(F.sum("n_tokens")).first()[0]
+    return mix(docs, "doc_id", "source", "text", table(spark, root, "mix_targets"), total=float(size or 0))[1]
 
 
 def _cut_values(spark: SparkSession, root: str) -> DataFrame:

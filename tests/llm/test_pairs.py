@@ -9,7 +9,7 @@ import pytest
 import newsquarry.llm.leakage as leakage
 import newsquarry.llm.neardup as neardup
 from newsquarry.llm.leakage import Items, extend, fingerprints, fold, leaks, word_hashes
-from newsquarry.llm.neardup import error_budget, expand, near_pairs, shingles, trie_pairs, words_of
+from newsquarry.llm.neardup import classes, error_budget, expand, near_pairs, shingles, trie_pairs, words_of
 
 
 def hamming(a, b):
@@ -73,6 +73,12 @@ def test_pairs_equal_all_pairs(spark, monkeypatch, size, least, block):
     assert got <= set(want)
     assert {p for p, j in want.items() if j >= least + 0.1} <= got and len(got) >= 0.97 * len(want)
     assert ("k000", "x1") in got and ("y1", "y2") in got
+    label = {k: k for p in got for k in p} | {k: k for k, t in rows if k and words_of(t or "")}
+    for _ in range(len(label)):
+        for a, b in got:
+            label[a] = label[b] = min(label[a], label[b])
+    degree = {k: sum(k in p for p in got) for k in label}
+    assert {r.id: (r.class_id, r.links) for r in classes(members, pairs, "id").collect()} == {k: (label[k], degree[k]) for k in label}
 
 
 def test_pairs_of_nothing_and_of_a_long_text(spark):
