@@ -37,9 +37,14 @@ def event_edges(rows: DataFrame, window_days: int = 10, least: float = 0.45, rar
     frequency = document_frequency(rows)
     tokens = rows.select("ticker", "node", "day", F.size("tokens").alias("size"), F.explode("tokens").alias("token")).join(frequency, ["ticker", "token"])
     tokens = cut(tokens.withColumn("rare", (F.length("token") >= 4) & (F.col("token") != F.lower("ticker")) & (F.col("df") >= 2) & (F.col("df") / F.col("n") <= rare_ratio)))
-    w = Window.partitionBy("ticker", "token", F.col("day").isNull()).orderBy("day", "node")
-    chained = tokens.where("rare").withColumns({"before": F.lag("node").over(w), "then": F.lag("day").over(w)})
-    links = chained.where(F.col("before").isNotNull() & (F.col("day").isNull() | (F.datediff("day", "then") <= window_days))).select(F.col("before").alias("a"), F.col("node").alias("b"))
+    # a token's titles of one day hang on the first of them, and the days are chained; days are few, titles may be many
+    rare = tokens.where("rare").select("ticker", "token", "day", "node")
+    days = rare.groupBy("ticker", "token", "day").agg(F.min("node").alias("head"))
+    w = Window.partitionBy("ticker", "token").orderBy("day")
+    chained = days.where("day IS NOT NULL").withColumns({"before": F.lag("head").over(w), "then": F.lag("day").over(w)})
+    links = chained.where(F.datediff("day", "then") <= window_days).select(F.col("before").alias("a"), F.col("head").alias("b"))
+    beside = rare.withColumn("d", F.coalesce("day", F.lit("0001-01-01").cast("date"))).join(days.withColumn("d", F.coalesce("day", F.lit("0001-01-01").cast("date"))).drop("day"), ["ticker", "token", "d"])
+    links = links.unionByName(beside.where("head <> node").select(F.col("head").alias("a"), F.col("node").alias("b")))
 
     place = F.row_number().over(Window.partitionBy("node").orderBy("df", "token"))
     prefix = tokens.withColumn("place", place).where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * least - 1e-9) + 1).where("NOT rare AND df >= 2")
@@ -62,9 +67,11 @@ def cluster_events(articles: DataFrame, window_days: int = 10, least: float = 0.
     rows = cut(prepared(articles))
     parts = components(event_edges(rows, window_days, least, rare_ratio))
     known = rows.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    place = F.struct(F.col("day").isNull().alias("undated"), "day", "article_id")
+    heads = known.groupBy("component").agg(F.min_by("article_id", place).alias("head"), F.count(F.lit(1)).alias("members"))
     w = Window.partitionBy("component").orderBy(F.col("day").asc_nulls_last(), "article_id")
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return known.select("ticker", "article_id", F.concat_ws(":", "ticker", F.first("article_id").over(whole)).alias("event_key"), F.row_number().over(w).alias("position"), F.count(F.lit(1)).over(Window.partitionBy("component")).alias("members"))
+    ranked = known.withColumn("position", F.row_number().over(w)).join(heads, "component")
+    return ranked.select("ticker", "article_id", F.concat_ws(":", "ticker", "head").alias("event_key"), "position", "members")
 
 
 def same_event(tokens_a, tokens_b, rare_tokens, least: float = 0.45):
@@ -89,7 +96,15 @@ def inherit(members: DataFrame, judged: DataFrame) -> DataFrame:
     rows = members.join(judged, "article_id", "left")
     w = Window.partitionBy("event_key").orderBy("position").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.withColumns({"source_id": F.first(F.when(F.col("sentiment").isNotNull(), F.col("article_id")), True).over(w), "taken": F.first("sentiment", True).over(w)})
-    known = rows.where("sentiment IS NOT NULL").select("event_key", F.col("tokens").alias("judged_tokens"))
     pending = rows.where("sentiment IS NULL AND source_id IS NOT NULL")
-    proof = pending.join(known, "event_key").where(same_event(F.col("tokens"), F.col("judged_tokens"), F.coalesce("distinctive", F.array()))).select("ticker", "article_id").distinct()
+    known = rows.where("sentiment IS NOT NULL")
+    # a distinctive token in common: one row for each token of an event's judged titles
+    judged_tokens = known.select("event_key", F.explode(F.array_intersect("tokens", F.coalesce("distinctive", F.array()))).alias("token")).distinct()
+    by_token = pending.select("ticker", "article_id", "event_key", F.explode(F.array_intersect("tokens", F.coalesce("distinctive", F.array()))).alias("token")).join(judged_tokens, ["event_key", "token"], "left_semi").select("ticker", "article_id")
+    # similar titles share one of their first tokens in any fixed order, if that many are taken
+    first = F.slice(F.array_sort("tokens"), F.lit(1), F.size("tokens") - F.ceil(F.size("tokens") * 0.45 - 1e-9).cast("int") + 1)
+    left = pending.where("size(tokens) > 0").select("ticker", "article_id", "event_key", "tokens", F.explode(first).alias("token"))
+    right = known.where("size(tokens) > 0").select("event_key", F.col("tokens").alias("others"), F.explode(first).alias("token")).distinct()
+    alike = left.join(right, ["event_key", "token"]).where(jaccard(F.col("tokens"), F.col("others")) >= 0.45).select("ticker", "article_id")
+    proof = by_token.unionByName(alike).distinct()
     return pending.join(proof, ["ticker", "article_id"]).select("article_id", "ticker", "source_id", F.col("taken").alias("sentiment"))

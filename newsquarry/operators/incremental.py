@@ -90,9 +90,9 @@ def _due_for(now: DataFrame, marks: list, consumer_type: T.DataType, levels: int
         rank = F.when(F.col("at").isNull(), 0).otherwise(rank)
     now = now.withColumn("rank", rank)
     parts = now.groupBy("leaf", "rank").agg(*_digest(F.col("k"), F.col("at")))
-    schema = T.StructType([T.StructField("consumer", consumer_type), T.StructField("step", T.IntegerType())])
+    schema = T.StructType([T.StructField("consumer", consumer_type), T.StructField("step", T.IntegerType()), T.StructField("node", T.IntegerType())])
     known = {s: i for i, s in enumerate(steps)}
-    open_ = spark.createDataFrame([(m.consumer, known.get(m.mark, -1)) for m in marks], schema).withColumn("node", F.lit(0))
+    open_ = spark.createDataFrame([(m.consumer, known.get(m.mark, -1), 0) for m in marks], schema)
     for level in range(levels + 1):
         here = parts.groupBy(F.shiftright("leaf", FANOUT_BITS * (levels - level)).alias("node"), "rank").agg(*[F.sum(d).alias(d) for d in DIGEST])
         both = open_.join(here, "node").groupBy("consumer", "step", "node")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsquarry.functions.text import title_hash
@@ -23,28 +23,28 @@ def to_articles(items: DataFrame, url: str = "url") -> DataFrame:
     return made.where("article_id <> ''")
 
 
-def merge_by_key(df: DataFrame, key: list[str], order: list[Column], fill: list[str]) -> DataFrame:
+def merge_by_key(df: DataFrame, key: list[str], order: list[str], fill: list[str]) -> DataFrame:
     """One row a key: the first by ``order``, with the first filled value of each column of ``fill``.
 
-    Only the columns to fill are looked for in later rows; all others are those of
-    the first row.  Rows with a null in the key are kept as they are.  One shuffle
-    by key, with partial aggregation.
+    Nulls of ``order`` come first, ties are broken by a digest of the whole row.  Only the
+    columns to fill are looked for in later rows; all others are those of the first row.
+    Rows with a null in the key are kept as they are.  One aggregation with partial
+    results, so a key may hold any share of the rows.
     """
-    order = [*order, *[F.col(c).asc_nulls_last() for c in df.columns if c not in key]]  # ties have a defined winner
-    keyed = df
+    rest = [c for c in df.columns if c not in key]
+    digest = F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x1e")) for c in rest]))
+    has_key = F.lit(True)
     for k in key:
-        keyed = keyed.where(F.col(k).isNotNull())
-    w = Window.partitionBy(*key).orderBy(*order)
-    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = keyed.withColumn("_n", F.row_number().over(w)).withColumns({c: F.coalesce(F.first(filled(c), ignorenulls=True).over(every), F.col(c)) for c in fill})
-    merged = ranked.where("_n = 1").drop("_n")
-    missing = F.lit(False)
-    for k in key:
-        missing = missing | F.col(k).isNull()
-    return merged.unionByName(df.where(missing))
+        has_key = has_key & F.col(k).isNotNull()
+    place = F.struct(*[F.col(c) for c in order], digest.alias("_digest"))
+    first = F.min_by(F.struct(*[F.col(c) for c in rest]), place).alias("_row")
+    values = [F.min_by(filled(c), F.when(filled(c).isNotNull(), place)).alias(f"_fill_{c}") for c in fill]
+    merged = df.where(has_key).groupBy(*key).agg(first, *values)
+    columns = [F.col(c) if c in key else F.coalesce(f"_fill_{c}", f"_row.{c}").alias(c) if c in fill else F.col(f"_row.{c}").alias(c) for c in df.columns]
+    return merged.select(*columns).unionByName(df.where(~has_key))
 
 
-def merge_articles(df: DataFrame, order: list[Column], fill: tuple[str, ...] = ("description", "sapo", "body", "source")) -> DataFrame:
+def merge_articles(df: DataFrame, order: list[str], fill: tuple[str, ...] = ("description", "sapo", "body", "source")) -> DataFrame:
     """Records merged by article_id, and the survivors by (title_hash, published_at) where both are filled."""
     by_id = merge_by_key(df, ["article_id"], order, list(fill))
     has = (F.coalesce(F.col("title_hash"), F.lit("")) != "") & (F.coalesce(F.col("published_at"), F.lit("")) != "")

@@ -6,7 +6,6 @@ import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from newsquarry.operators import classify, cluster, ingest, match
 
@@ -15,7 +14,7 @@ Tables = dict[str, DataFrame]
 
 
 def merge(t: Tables) -> DataFrame:
-    return ingest.merge_articles(t["articles"], [F.col("fetched_at").asc()])
+    return ingest.merge_articles(t["articles"], ["fetched_at"])
 
 
 def attribute(t: Tables) -> DataFrame:

@@ -179,15 +179,19 @@ def _merge_sql(source: str, key: tuple[str, ...], order: str) -> str:
     return f"SELECT * EXCLUDE (rn) FROM (SELECT {cols}, row_number() {w}) AS rn FROM {source}) WHERE rn = 1"
 
 
-_ORDER = ", ".join(["fetched_at NULLS FIRST", *[f"{c} NULLS LAST" for c in _COLUMNS if c != "article_id"]])
-_ORDER2 = ", ".join(["fetched_at NULLS FIRST", *[f"{c} NULLS LAST" for c in _COLUMNS if c not in ("title_hash", "published_at")]])
+def _digest(without: tuple[str, ...]) -> str:
+    return "md5(concat_ws(chr(31), " + ", ".join(f"coalesce({c}, chr(30))" for c in _COLUMNS if c not in without) + "))"
+
+
+_ORDER = "fetched_at NULLS FIRST, " + _digest(("article_id",))
+_ORDER2 = "fetched_at NULLS FIRST, " + _digest(("title_hash", "published_at"))
 _TWIN = "coalesce(title_hash, '') <> '' AND coalesce(published_at, '') <> ''"
 
 
 @query("dml_merge", f"WITH one AS ({_merge_sql('articles', ('article_id',), _ORDER)}), two AS ({_merge_sql('(SELECT * FROM one WHERE ' + _TWIN + ')', ('title_hash', 'published_at'), _ORDER2)}) SELECT article_id, title, coalesce(length(description), -1) AS d, coalesce(length(sapo), -1) AS s, coalesce(length(body), -1) AS b, source FROM (SELECT * FROM two UNION ALL SELECT * FROM one WHERE NOT ({_TWIN}))")
 def dml_merge(spark, root):
     """DML-01, DML-02, JOIN-07: arrivals merged by id, then by title and date."""
-    merged = ingest.merge_articles(table(spark, root, "articles").select(*_COLUMNS), [F.col("fetched_at").asc()])
+    merged = ingest.merge_articles(table(spark, root, "articles").select(*_COLUMNS), ["fetched_at"])
     n = lambda c: F.coalesce(F.length(c), F.lit(-1)).cast("long")
     return merged.select("article_id", "title", n("description").alias("d"), n("sapo").alias("s"), n("body").alias("b"), "source")
 

@@ -222,10 +222,28 @@ def test_clusters_equal_all_pairs(spark):
     assert cluster.cluster_events(df.limit(0)).count() == 0
 
 
+def test_inheritance_equals_all_pairs(spark):
+    r = random.Random(2)
+    vocab = ["phat", "thep", "alpha", "nguon", "nuoc", "thai", "song", "xa", "no", "lu", "chay", "kho"]
+    members = [("AAA", f"i{i}", f"AAA:e{i % 5}", i, 20, list(dict.fromkeys(r.choices(vocab, k=r.randrange(0, 7)))), ["alpha", "nguon"]) for i in range(60)]
+    df = spark.createDataFrame(members, "ticker string, article_id string, event_key string, position int, members int, tokens array<string>, distinctive array<string>")
+    judged = {f"i{i}": r.choice(["risk", "not_risk"]) for i in range(0, 60, 4)}
+    got = {x.article_id: (x.source_id, x.sentiment) for x in cluster.inherit(df, spark.createDataFrame(list(judged.items()), "article_id string, sentiment string")).collect()}
+    want = {}
+    for m in members:
+        event = [x for x in members if x[2] == m[2] and x[1] in judged]
+        if m[1] in judged or not event:
+            continue
+        a = set(m[5])
+        if any((a & set(x[5]) & {"alpha", "nguon"}) or (a | set(x[5]) and len(a & set(x[5])) / len(a | set(x[5])) >= 0.45) for x in event):
+            want[m[1]] = (event[0][1], judged[event[0][1]])
+    assert got == want and want
+
+
 def test_merge_by_two_keys(spark):
     rows = [("1", "h", "2024-01-01", None, "t1", 1), ("1", "h", "2024-01-01", "s", "t1", 2), ("2", "h", "2024-01-01", "z", "t2", 3), ("3", "", "2024-01-01", "q", "t3", 1), ("4", None, None, "", "t4", 1), (None, "h", "d", "n", "t5", 0)]
     df = spark.createDataFrame(rows, "article_id string, title_hash string, published_at string, sapo string, title string, at int")
-    got = {r.article_id: (r.sapo, r.title) for r in ingest.merge_articles(df, [F.col("at").asc()], ("sapo",)).collect()}
+    got = {r.article_id: (r.sapo, r.title) for r in ingest.merge_articles(df, ["at"], ("sapo",)).collect()}
     assert got == {"1": ("s", "t1"), "3": ("q", "t3"), "4": ("", "t4"), None: ("n", "t5")}
 
 

@@ -48,12 +48,10 @@ def test_entry(spark, small):
 
 
 def test_merge_stream_repeats_nothing(spark, tmp_path):
-    from pyspark.sql import functions as F
-
     from newsquarry.operators.ingest import merge_by_key
 
     src, store = str(tmp_path / "in"), str(tmp_path / "store")
-    merge = lambda df: merge_by_key(df, ["id"], [F.col("at").asc()], ["v"])
+    merge = lambda df: merge_by_key(df, ["id"], ["at"], ["v"])
     spark.createDataFrame([("a", 1, None), ("b", 1, "x")], "id string, at int, v string").write.parquet(src)
     ingest.merge_stream(ingest.stream_of(spark, src), store, merge)
     spark.createDataFrame([("a", 2, "y"), ("c", 2, "z")], "id string, at int, v string").write.mode("append").parquet(src)
