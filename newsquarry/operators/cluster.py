@@ -70,7 +70,7 @@ def cluster_events(articles: DataFrame, window_days: int = 10, least: float = 0.
     place = F.struct(F.col("day").isNull().alias("undated"), "day", "article_id")
     heads = known.groupBy("component").agg(F.min_by("article_id", place).alias("head"), F.count(F.lit(1)).alias("members"))
     w = Window.partitionBy("component").orderBy(F.col("day").asc_nulls_last(), "article_id")
-    ranked = known.withColumn("position", F.row_number().over(w)).join(heads, "component")
+    ranked = known.withColumn("position", F.row_number().over(w).cast("long")).join(heads, "component")
     return ranked.select("ticker", "article_id", F.concat_ws(":", "ticker", "head").alias("event_key"), "position", "members")
 
 

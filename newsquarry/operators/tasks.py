@@ -53,7 +53,7 @@ def after_failure(queue: DataFrame, failures: DataFrame, now: Column, schedule:
     return failed.withColumns({
         "attempts": F.when(hit, n).otherwise(F.col("attempts")),
         "status": F.when(hit & (n >= max_attempts), "failed").when(hit, "backoff").otherwise(F.col("status")),
-        "next_attempt": F.when(hit & (n < max_attempts), F.date_format(now + F.make_dt_interval(secs=delay.cast("double")), "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise(F.col("next_attempt")),
+        "next_attempt": F.when(hit & (n < max_attempts), F.date_format(F.to_utc_timestamp(now + F.make_dt_interval(secs=delay.cast("double")), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise(F.col("next_attempt")),
         "last_error": F.when(hit, F.substring("_error", 1, 500)).otherwise(F.col("last_error")),
     }).drop("_error")
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newsquarry.functions import dates, profile, text, url
+from newsquarry.functions import dates, html, profile, text, url
 from newsquarry.operators import classify, cluster, enrich, ingest, match, tasks
+from newsquarry.plans import pipeline
 from newsquarry.plans.event_query import EventQuery, headline, label
 from newsquarry.queries import query
-from newsquarry.session import cut, table
+from newsquarry.session import cut, shared_dir, table
 from newsquarry.sources import files, sinks
 from newsquarry.streaming import ingest as streaming
 
@@ -486,12 +489,12 @@ def snk_documents(spark, root):
     return docs.select("ticker", F.size("articles").cast("long").alias("articles"), F.array_join(F.transform("articles", lambda x: x["article_id"]), ",").alias("ids"))
 
 
-@query("str_windows", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2 HAVING time_bucket(INTERVAL 1 HOUR, min(ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events)")
+@query("str_windows", "SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2, time_bucket(INTERVAL 1 HOUR, ts) HAVING time_bucket(INTERVAL 1 HOUR, min(ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events)")
 def str_windows(spark, root):
     """Event-time windows as a stream: counts by hour and type of every hour that is over."""
     stream = streaming.stream_of(spark, f"{root}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     w = streaming.windowed_counts(stream, "ts", "1 hour", "0 seconds", ["event_type"])
-    return streaming.drain(w, "append")
+    return streaming.drain(w, "append").select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
 
 
 @query("str_first", "SELECT DISTINCT article_id FROM articles")
@@ -542,7 +545,7 @@ def scl_ages(spark, root):
     q = table(spark, root, "search_queue").where("items_found IS NOT NULL").select("items_found", "backend").distinct()
     age = F.concat(F.col("items_found").cast("string"), F.lit(" "), unit, F.lit("s ago"))
     seconds = F.timestamp_seconds(F.col("items_found").cast("long") * 86400)
-    return q.select("items_found", dates.relative_age(age, F.lit("2026-01-31").cast("date")).alias("day"), "backend", F.date_format(F.to_utc_timestamp(seconds, F.expr("current_timezone()")), "yyyy-MM-dd").alias("epoch_day") if spark.conf.get("spark.sql.session.timeZone") != "UTC" else F.date_format(seconds, "yyyy-MM-dd").alias("epoch_day"))
+    return q.select("items_found", dates.relative_age(age, F.lit("2026-01-31").cast("date")).alias("day"), "backend", F.date_format(F.to_utc_timestamp(seconds, F.current_timezone()), "yyyy-MM-dd").alias("epoch_day"))
 
 
 @query("scl_feed", "SELECT DISTINCT task_id, strftime(CAST(after_date AS DATE), '%Y-%m-%d') AS day FROM search_queue WHERE after_date IS NOT NULL")
@@ -572,3 +575,139 @@ def tpch_q1(spark, root):
     """AGG: pricing summary."""
     rows = table(spark, root, "lineitem").where("l_shipdate <= DATE '1998-09-02'")
     return rows.groupBy("l_returnflag", "l_linestatus").agg(F.round(F.sum("l_quantity"), 2).alias("sum_qty"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.count(F.lit(1)).alias("n"))
+
+
+# ---- the rest of the inventory ----------------------------------------------------------------------------------
+@query("flt_enrich", f"WITH {_ONCE} SELECT article_id, published_at FROM a WHERE match_status = 'matched' AND esg_status = 'esg' AND enrich_status = 'pending' ORDER BY published_at DESC, article_id LIMIT 25")
+def flt_enrich(spark, root):
+    """FLT-02: the next articles to enrich, newest first (a top list)."""
+    return once(spark, root).where("match_status = 'matched' AND esg_status = 'esg' AND enrich_status = 'pending'").select("article_id", "published_at").orderBy(F.desc("published_at"), "article_id").limit(25)
+
+
+@query("flt_members", f"WITH {_ONCE} SELECT article_id, ticker_hint AS ticker FROM a WHERE ticker_hint IN (SELECT ticker FROM companies WHERE sector = (SELECT min(sector) FROM companies))")
+def flt_members(spark, root):
+    """FLT-08, FLT-10: articles of the companies in a set."""
+    firms = table(spark, root, "companies")
+    first = firms.agg(F.min("sector").alias("sector"))
+    chosen = firms.join(first, "sector", "left_semi").select("ticker")
+    return files.by_keys(once(spark, root).select("article_id", F.col("ticker_hint").alias("ticker")), chosen, "ticker")
+
+
+@query("agg_oldest", f"SELECT backend, strftime(min({_instant('fetched_at')}) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS oldest FROM articles GROUP BY 1")
+def agg_oldest(spark, root):
+    """AGG-10: the oldest known time by backend, unreadable ones aside."""
+    oldest = F.min(dates.instant("fetched_at"))
+    return table(spark, root, "articles").groupBy("backend").agg(oldest.alias("t")).select("backend", F.date_format(F.to_utc_timestamp("t", F.current_timezone()), "yyyy-MM-dd HH:mm:ss").alias("oldest"))
+
+
+@query("win_aliases", "WITH x AS (SELECT ticker, alias, row_number() OVER (PARTITION BY ticker ORDER BY alias_kind, alias) AS pos FROM company_aliases), y AS (SELECT *, row_number() OVER (PARTITION BY ticker, lower(alias) ORDER BY pos) AS n FROM x) SELECT ticker, alias, CAST(row_number() OVER (PARTITION BY ticker ORDER BY pos) - 1 AS INTEGER) AS ix FROM y WHERE n = 1")
+def win_aliases(spark, root):
+    """WIN-05, WIN-06, SRC-18: a company's aliases, the first spelling of each, with their place."""
+    by = Window.partitionBy("ticker")
+    x = table(spark, root, "company_aliases").withColumn("pos", F.row_number().over(by.orderBy("alias_kind", "alias")))
+    y = x.withColumn("n", F.row_number().over(Window.partitionBy("ticker", F.lower("alias")).orderBy("pos"))).where("n = 1")
+    return y.select("ticker", "alias", (F.row_number().over(by.orderBy("pos")) - 1).alias("ix"))
+
+
+@query("srt_latest", "SELECT backend, max(task_id) AS latest FROM search_queue WHERE status = 'done' GROUP BY 1")
+def srt_latest(spark, root):
+    """SRT-06: the latest by name."""
+    return table(spark, root, "search_queue").where("status = 'done'").groupBy("backend").agg(F.max("task_id").alias("latest"))
+
+
+_FOR_PAGE = r"replace(regexp_replace(body, '[<>&]', ' ', 'g'), chr(10), ' ')"
+
+
+@query("scl_main", f"WITH {_ONCE}, b AS (SELECT article_id, trim(regexp_replace({_FOR_PAGE}, '\\s+', ' ', 'g')) AS t FROM a WHERE body IS NOT NULL) SELECT article_id, CASE WHEN length(t) >= 200 THEN length(t) END AS chars FROM b")
+def scl_main(spark, root):
+    """SCL-18: the main text of pages made of menus, a body and a footer."""
+    plain = F.trim(F.regexp_replace(F.replace(F.regexp_replace("body", "[<>&]", " "), F.lit("\n"), F.lit(" ")), r"\s+", " "))
+    page = F.concat(F.lit("<html><nav><a href=x>Menu</a></nav><article><p>"), plain, F.lit("</p><table><tr><td>1</td></tr></table></article><footer>Footer of the page</footer></html>"))
+    return once(spark, root).where("body IS NOT NULL").select("article_id", F.length(html.extract_main(page)).cast("long").alias("chars"))
+
+
+@query("scl_bounded", f"WITH {_ONCE} SELECT article_id, regexp_matches(lower(title), '(^|[^\\p{{L}}\\p{{N}}_])(bị phạt|sạt taluy|bùn)($|[^\\p{{L}}\\p{{N}}_])') AS named FROM a")
+def scl_bounded(spark, root):
+    """SCL-21: whether a title holds one of some terms as words."""
+    return once(spark, root).select("article_id", F.col("title").rlike(text.bounded(["bị phạt", "sạt taluy", "bùn"])).alias("named"))
+
+
+@query("scl_task_ids", "SELECT DISTINCT task_id, CASE WHEN kind = 'alias' THEN concat_ws(':', backend, 'alias', ticker, sub_query_ix, after_date, before_date) ELSE concat_ws(':', backend, group_key, sub_query_ix, after_date) END AS made FROM search_queue")
+def scl_task_ids(spark, root):
+    """SCL-24: identifiers of tasks; those of aliases hold the end of their time."""
+    key = F.when(F.col("kind") == "alias", F.concat_ws(":", "backend", F.lit("alias"), "ticker", "sub_query_ix", "after_date", "before_date")).otherwise(F.concat_ws(":", "backend", "group_key", "sub_query_ix", "after_date"))
+    return table(spark, root, "search_queue").select("task_id", key.alias("made")).distinct()
+
+
+@query("scl_brands", "SELECT ticker, w AS word FROM (SELECT DISTINCT ticker, unnest(string_split(company_name, ' ')) AS w FROM companies) WHERE regexp_full_match(w, '[A-Z][A-Za-z]{3,19}') AND len(regexp_extract_all(lower(w), '[aeiouy]+')) >= 2 AND w NOT IN (" + ", ".join(f"'{w}'" for w in profile.NO_BRANDS) + ")")
+def scl_brands(spark, root):
+    """SCL-26: brands inside company names."""
+    w = table(spark, root, "companies").select("ticker", F.explode(F.split("company_name", " ")).alias("word")).distinct()
+    return w.where(profile.is_brand(F.col("word")))
+
+
+_PLACES = ("Vân Lũng", "Trà Khuê", "Mường Lăng")
+
+
+@query("scl_places", f"WITH {_ONCE} SELECT article_id, array_to_string(list_filter(['Vân Lũng', 'Trà Khuê', 'Mường Lăng'], lambda p: contains(lower(coalesce(sapo, '')), lower(p))), ', ') AS places FROM a")
+def scl_places(spark, root):
+    """SCL-29: the places a text names, in the order of a list."""
+    return once(spark, root).select("article_id", F.array_join(profile.locations("sapo", list(_PLACES)), ", ").alias("places"))
+
+
+@query("scl_window", f"SELECT DISTINCT fetched_at, CAST(CAST({_instant('fetched_at')} AT TIME ZONE 'UTC' + INTERVAL 7 HOUR AS DATE) - 5 AS DATE) AS after, CAST(CAST({_instant('fetched_at')} AT TIME ZONE 'UTC' + INTERVAL 7 HOUR AS DATE) - 1 AS DATE) AS before FROM articles")
+def scl_window(spark, root):
+    """SCL-33: the five days before an instant, as days of another zone."""
+    utc = F.to_utc_timestamp(dates.instant("fetched_at"), F.current_timezone())
+    w = dates.daily_window(utc, "Asia/Ho_Chi_Minh", 5)
+    return table(spark, root, "articles").select("fetched_at", w["after"].alias("after"), w["before"].alias("before")).distinct()
+
+
+@query("str_done", "SELECT task_id, CASE WHEN status = 'in_progress' THEN 'done' ELSE status END AS status, CASE WHEN status = 'in_progress' THEN length(query_text) ELSE items_found END AS items_found FROM search_queue")
+def str_done(spark, root):
+    """STR-03: tasks marked as done with what they found."""
+    q = table(spark, root, "search_queue").select("task_id", "status", F.col("items_found").cast("long").alias("items_found"), "query_text")
+    done = q.where("status = 'in_progress'").withColumns({"status": F.lit("done"), "items_found": F.length("query_text").cast("long")})
+    return ingest.replace_rows(q, done, ["task_id"]).select("task_id", "status", "items_found")
+
+
+@query("src_pool", "SELECT ticker, alias, alias_kind FROM (SELECT DISTINCT upper(ticker) AS ticker, trim(alias) AS alias, alias_kind FROM company_aliases) WHERE length(alias) > 0")
+def src_pool(spark, root):
+    """SRC-06, SNK-06: alias documents, one a company, written and read again."""
+    lists = [F.collect_set(F.when(F.col("alias_kind") == k, F.col("alias"))).alias(k) for k in files.KINDS]
+    at = f"{shared_dir(spark)}/pool-{uuid.uuid4().hex}"
+    table(spark, root, "company_aliases").groupBy("ticker").agg(*lists).repartition(48, "ticker").write.option("maxRecordsPerFile", 1).json(at)
+    return files.alias_pool(spark, at).select("ticker", "alias", "alias_kind").distinct()
+
+
+@query("src_companies", "SELECT trim(ticker) AS ticker, trim(company_name) AS company_name FROM companies")
+def src_companies(spark, root):
+    """SRC-07: the company table as CSV, written and read again."""
+    at = f"{shared_dir(spark)}/companies-{uuid.uuid4().hex}"
+    table(spark, root, "companies").select("ticker", F.col("company_name").alias("name")).write.option("header", True).csv(at)
+    return files.companies(spark, at).select("ticker", "company_name")
+
+
+@query("src_documents", f"WITH {_HITS} SELECT ticker, article_id, location FROM hits")
+def src_documents(spark, root):
+    """SRC-09, SNK-02: company documents, written and read again."""
+    at = f"{shared_dir(spark)}/documents-{uuid.uuid4().hex}"
+    rows = _hits(spark, root).join(once(spark, root).select("article_id", "title", "published_at"), "article_id").select("ticker", "article_id", "title", "published_at", "location")
+    sinks.write_ndjson(sinks.company_documents(rows), at)
+    return files.ticker_documents(spark, at).select("ticker", "article_id", "location")
+
+
+@query("src_events", f"WITH RECURSIVE {_VIEW} SELECT id, ticker, date, sources_count FROM v")
+def src_events(spark, root):
+    """SRC-14, SNK-03: the list of events, written in order and read again."""
+    at = f"{shared_dir(spark)}/events-{uuid.uuid4().hex}"
+    view = _view(spark, root)
+    sinks.write_ordered(view, at, F.desc("date"), "ticker", "id")
+    return spark.read.schema(view.schema).json(at).select("id", "ticker", "date", "sources_count")
+
+
+@query("run_daily")
+def run_daily(spark, root):
+    """RUN-01, RUN-03, UDF-07, TXT-09: the stages of a daily run; events by company."""
+    out = pipeline.run("daily", {n: table(spark, root, n) for n in ("articles", "company_aliases")})
+    return out["events"].groupBy("ticker").agg(F.countDistinct("event_key").alias("events"), F.count(F.lit(1)).alias("articles"))

@@ -55,3 +55,15 @@ def write_ndjson(df: DataFrame, path: str) -> None:
 def write_ordered(df: DataFrame, path: str, *order) -> None:
     """One ordered file, for lists that a page reads; meant for results of bounded size."""
     publish(df.sparkSession, lambda p: df.orderBy(*order).coalesce(1).write.option("ignoreNullFields", False).json(p), path)
+
+
+def write_new(df: DataFrame, path: str, force: bool = False) -> str:
+    """'exists', 'written' or 'failed': writes JSON unless the path is there already, or in any case with ``force``."""
+    spark = df.sparkSession
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    if not force and Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(Path(path)):
+        return "exists"
+    if df.isEmpty():
+        return "failed"
+    write_ndjson(df, path)
+    return "written"

@@ -334,3 +334,31 @@ def test_pipeline_runs_and_survives_a_failed_stage(spark, small):
     t = {n: table(spark, small, n) for n in ("articles", "company_aliases")}
     assert pipeline.run("daily", t)["events"].count() > 0
     assert "hits" not in pipeline.run("match", {"articles": t["articles"]})
+
+
+def test_vocabulary_from_a_table(spark):
+    t = spark.createDataFrame([("Bị phạt", "strong", "G"), ("bị phạt", "strong", "G"), ("nước thải", "general", "E"), ("báo lãi", "noise", None), (None, "noise", None)], "term string, tier string, category string")
+    v = classify.vocabulary_of(t)
+    assert v.strong == (("bị phạt", "G"),) and v.general == (("nước thải", "E"),) and v.noise == ("báo lãi",) and v.high == ()
+    with pytest.raises(ValueError):
+        classify.vocabulary_of(t, 1)
+
+
+def test_registries(spark, tmp_path):
+    from newsquarry.sources.registry import Scorers, register_connectors
+
+    register_connectors(spark, {"news_replay": "newsquarry.sources.connectors:ReplaySource"})
+    with pytest.raises(ValueError):
+        register_connectors(spark, {"other": "newsquarry.sources.connectors:ReplaySource"})
+    s = Scorers()
+    s.add("a", lambda c: (lambda b: b) if "A_KEY" in c else None)
+    s.add("b", lambda c: len if "B_KEY" in c else None)
+    assert s.pick({"B_KEY": "x"}) is len and s.pick({}) is None and s.pick({"B_KEY": "x"}, "b") is len
+    with pytest.raises(KeyError):
+        s.pick({}, "zzz")
+
+
+def test_write_new(spark, tmp_path):
+    df = spark.createDataFrame([(1,)], "a int")
+    p = str(tmp_path / "x")
+    assert [sinks.write_new(df.limit(0), p), sinks.write_new(df, p), sinks.write_new(df, p), sinks.write_new(df, p, True)] == ["failed", "written", "exists", "written"]
