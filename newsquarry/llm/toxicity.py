@@ -38,7 +38,7 @@ PHRASES = {
         "go to hell", "kill yourself", "shut up", "deserve to rot", "deserves to rot", "and rot", "drop dead", "kick in the teeth", "deserve to die", "should die", "i will kill", "hang yourself",
     ),
     "group": (
-        "hạ đẳng", "ăn bám", "tống cổ", "đuổi sạch", "đuổi hết", "đừng cho vào", "không đáng được coi là người", "không phải là người", "sinh ra đã ngu", "bẩn thỉu", "mọi rợ", "man rợ", "diệt sạch", "thuê làm gì", "đồ mọi",
+        "hạ đẳng", "thứ hạ đẳng", "giống hạ đẳng", "ăn bám", "tống cổ", "đuổi sạch", "đuổi hết", "đừng cho vào", "không đáng được coi là người", "không phải là người", "sinh ra đã ngu", "bẩn thỉu", "mọi rợ", "man rợ", "diệt sạch", "thuê làm gì", "đồ mọi",
         "your kind", "your disgusting kind", "too stupid for", "not human", "subhuman", "should be deported", "go back to your country", "animals like you", "do not belong here", "don't belong here", "belong in a zoo", "born stupid", "parasites",
     ),
     "sexual": (
@@ -50,7 +50,7 @@ PHRASES = {
     "report": ("công an", "cảnh sát", "triệt phá", "quy định cấm", "ra quy định", "lập biên bản", "tố cáo", "hội thảo", "lớp tập huấn", "tập huấn", "tài liệu hướng dẫn", "hướng dẫn phụ huynh", "làm rõ", "xử lý", "bị gọi là", "gọi là", "kể bị", "cho biết", "an toàn", "sức khỏe", "khiêu dâm được", "assessment", "class action", "claims", "policy", "court", "reported", "convicted", "training", "replaced", "nghiệp vụ", "ứ đọng"),
 }
 # Phrases that without accents are everyday words.
-AMBIGUOUS = ("lộ hàng", "đi chết", "dân", "đồ mọi")
+AMBIGUOUS = ("hạ đẳng", "lộ hàng", "đi chết", "dân", "đồ mọi")
 # Digits and signs written for letters.
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 # Sentences to fit on besides the reviews; 1 abusive, 0 not.
@@ -187,8 +187,9 @@ def _sentence(s: str) -> dict[str, float] | None:
         out[k] = float(len({h[0] for h in free if h[2] == k}))
     for k in ("offer", "person", "report"):
         out[k] = float(len({h[0] for h in hits if h[2] == k}))
-    people = [h[0] for h in hits if h[2] == "person"]
-    near = min((abs(p - h[0]) for p in people for h in free), default=200)
+    # what is addressed: persons and groups, and for explicit content those it is offered to
+    aims = [(h[0], h[2]) for h in hits if h[2] in ("person", "offer")]
+    near = min((abs(at - h[0]) for at, kind in aims for h in free if kind == "person" or h[2] == "sexual"), default=200)
     out["near"] = 1.0 / (1.0 + near / 20)
     out["quoted"] = float(len(quoted))
     out["masked"] = float(masked)
