@@ -169,3 +169,13 @@ def test_summary_error_is_bounded():
         s.shrink(s.size(0.05))
     assert s.error <= 0.05 * s.rows
     assert all(true[k] - s.error <= s.counts.get(k, 0) <= true[k] for k in true)
+
+
+@pytest.mark.parametrize("line", ["Từ khóa: Zuvina, Bizulo, bên lề", "Từ khoá: a", "TỪ KHÓA: A, B", "PV  nhóm Điều tra - Đất Mẹ", "Biên tập: Ban Kinh tế X | Trình bày: Tổ Ảnh", "Xem  bản in X số 3 tại các sạp gần nhà.", "X giữ bản quyền ảnh và chữ, mọi sao chép cần chấp thuận.", "Thảo luận (12)", "Trao đổi , vui lòng gõ tiếng Việt có dấu", "Mọi tấm lòng hảo tâm qua tòa soạn, mã số 83935.", "Bạn đọc ủng hộ xin gửi về quỹ sẻ chia, mã số 1.", "Về X • Tuyển dụng • Sơ đồ trang • RSS", "Cơ quan chủ quản: Hội X | Điều khoản | Chính sách riêng tư", "TẠP CHÍ X - Đường dây nóng: 0000 750 918 - Liên hệ quảng cáo", "[ADVERTISEMENT]", "Cookie giúp trang chạy ổn hơn, để ghi nhớ phiên. Manage"])
+def test_furniture_line(line):
+    assert furniture_lines(f"Một câu của báo hôm nay.\n{line}\nMột câu khác của báo.") == [1]
+
+
+@pytest.mark.parametrize("line", ["Bạn đọc ủng hộ quyết định của xã.", "Trang chủ của đội tàu vẫn quảng cáo dự án đã bị đình chỉ.", "Công ty bị nhắc vì thu thập cookie của 12 khách hàng.", "Khách phải đăng nhập 3 lần mới nộp được đơn.", "Đường dây nóng của công ty nhận 501 cuộc gọi.", "Chuỗi cung ứng", "Bài học cho đơn vị khác", "- Điểm lấy mẫu: sông Nhè; kết quả 57,7 mg/l.", "Kết luận [1] dẫn [Phụ lục 2] và bảng <3> của sở, phần $ quy đổi để riêng."])
+def test_report_line(line):
+    assert furniture_lines(f"Một câu của báo hôm nay.\n{line}\nMột câu khác của báo.") == []
