@@ -12,7 +12,7 @@ from newsquarry.llm.site_lines import Summary, line_key, repeated_lines, without
 
 REPORT = "Hôm qua, công ty bị phạt 3 tỷ đồng vì xả thải ra sông.\nNgười dân nói gì\nChúng tôi sẽ theo dõi tiếp vụ việc này trong tuần."
 OPEN = ["Công ty {{ ten }} bị phạt.", "Bị phạt ${so_tien} đồng.", "Theo #{x} nói.", "Số {0} người.", "<%= a %> nói", "Ngày {% d %} qua", "Ở [[noi]] có", "Do %%LEAD%% làm", "Do @@item.x@@ làm", "Ông __ten__ nói", "Giá $gia$ đồng", "Bà *|TEN|* nói", "Tăng undefined undefined đồng", "Giảm [object Object] lần", "Thu NaN tỷ", "Theo <TÊN TÁC GIẢ> cho biết", "Tại [NGÀY THÁNG] có mưa"]
-CLOSED = ["Vay $703 triệu, lãi <3% mỗi năm.", "Kết luận [12] dẫn [Phụ lục 5] và bảng <26>.", "Ký hiệu %% trong bảng.", "[ADVERTISEMENT]", "[TRANG CHỦ] [ĐỜI SỐNG]", "[Ảnh] Cá chết", "Tập {1; 2}", "email a@b.vn", "giá trị rỗng"]
+CLOSED = ["Vay $703 triệu, lãi <3% mỗi năm.", "Kết luận [12] dẫn [Phụ lục 5] và bảng <26>.", "Ký hiệu %% trong bảng.", "[ADVERTISEMENT]", "[TRANG CHỦ] [ĐỜI SỐNG]", "[Ảnh] Cá chết", "* [ĐÌNH CHỈ MẢNG BAO BÌ](https://a.vn/b-1.html)", "Tập {1; 2}", "email a@b.vn", "giá trị rỗng"]
 BAD = ["404 Not Found\nGo back | Home | Search", "You need to enable JavaScript to run this app.", "Công ty A - Kinh doanh\nYêu cầu của bạn đã bị chặn bởi hệ thống bảo vệ. ID phiên: 23.657", "Lorem ipsum dolor sit amet, consectetur adipiscing elit.", "test test test 83", "HỆ THỐNG ĐANG BẢO TRÌ, MỜI QUÝ ĐỘC GIẢ QUAY LẠI SAU 52 PHÚT.", "asdf asdf qwer 8 Nội dung đang được cập nhật."]
 GOOD = [REPORT, REPORT + "\nHệ thống bán hàng báo lỗi 404 suốt 8 giờ.", 'Báo cáo còn sót đoạn "lorem ipsum" ở trang 3, kế toán trưởng thừa nhận.', "Trang tra cứu báo \"Access denied\" khi phóng viên nhập mã hồ sơ.\n" + REPORT, "Người dùng được yêu cầu bật JavaScript mới xem được bảng giá.\n" + REPORT]
 
