@@ -142,10 +142,8 @@ def _fix_word(m: re.Match) -> str:
     word = m.group()
     if not _LOOK.search(word):
         return word
-    looks = sum(c in LOOKALIKES for c in word)
-    marks = sum(1 for c in word if unicodedata.combining(c))
     latin = sum(_latin(c) and c not in LOOKALIKES for c in word)
-    if looks + marks + latin < len(word):  # letters of a third kind: the word is of another alphabet
+    if any(c.isalpha() and not _latin(c) and c not in LOOKALIKES for c in word):  # the word is of another alphabet
         return word
     if not latin and any(c not in "ðÐƉɖı" for c in word if c in LOOKALIKES):
         return word
@@ -153,7 +151,7 @@ def _fix_word(m: re.Match) -> str:
     if latin < need:
         return word
     fixed = "".join(LOOKALIKES.get(c, c) for c in word)
-    return unicodedata.normalize("NFC", fixed) if marks else fixed
+    return unicodedata.normalize("NFC", fixed) if any(unicodedata.combining(c) for c in word) else fixed
 
 
 def _fix_chunk(m: re.Match) -> str:

@@ -8,7 +8,7 @@ from newsquarry.llm.canonical import LOOKALIKES, MAPPING, build_mapping, canonic
 
 CASES = [
     ("ｎｇườｉ", "người", ["width"]), ("yêu cầu", "yêu cầu", ["accent"]), ("ậ", "ậ", ["accent"]), ("ậ", "ậ", ["accent"]), ("ậ", "ậ", ["accent"]), ("n­u​ôi", "nuôi", ["invisible"]), ("Sở Lao　động", "Sở Lao động", ["space"]),
-    ("vàο", "vào", ["lookalike"]), ("Кelоra", "Kelora", ["lookalike"]), ("Ðình ðổi", "Đình đổi", ["lookalike"]), ("a​̣", "ạ", ["invisible", "accent"]), ("ｅ̂", "ê", ["width", "accent"]),
+    ("vàο", "vào", ["lookalike"]), ("Кelоra", "Kelora", ["lookalike"]), ("CΟ₂", "CO₂", ["lookalike"]), ("Ðình ðổi", "Đình đổi", ["lookalike"]), ("a​̣", "ạ", ["invisible", "accent"]), ("ｅ̂", "ê", ["width", "accent"]),
 ]
 CLEAN = ["«завод удобрений»", "肥料工場", "Δ và α", "CO₂ µg/m³ ½", "👩‍🔧 kỹ sư", "hoà hòa", "“trích” – dài…", "x̂ q̃", "tab\tvà\nxuống dòng", "", "می‌خواهم", "ﬁ"]
 
