@@ -12,7 +12,7 @@ from newsquarry.llm.truncation import cut_values, ending
 
 ENDINGS = [
     ("Một câu.", "closed"), ("Một câu...", "marked"), ("Một câu…", "marked"), ("Một […]", "marked"), ("Một (...)", "marked"), ("Một… xem tiếp »", "marked"), ("Một >> Đọc tiếp", "marked"), ("Một... (còn nữa)", "marked"), ("Một&quo", "broken"), ("Một<br", "broken"), ("Một<a href=\"x", "broken"), ("Một đ�", "broken"),
-    ("Một câu", "open"), ("Theo A: \"Đúng vậy.\"", "closed"), ("Hỏi?", "closed"), ("Một câu. (Theo PV).", "closed"), ("Năm 2017.", "initial"), ("theo ông H.", "initial"),
+    ("Một câu", "open"), ("Theo A: \"Đúng vậy.\"", "closed"), ("Hỏi?", "closed"), ("Một câu. (Theo PV).", "closed"), ("vào mỗi đêm; ", "broken"), ("Họ nói:", "broken"), ("Năm 2017.", "initial"), ("theo ông H.", "initial"),
 ]
 
 
