@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Puts this package's folder on the Python path of workers that start from now on, where they can see it."""
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([home, *paths])
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The parquet table ``name`` below ``root``."""
+    reach_workers(spark)
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
