@@ -51,3 +51,14 @@ def small_enough(df: DataFrame, max_rows: int) -> list | None:
     """
     rows = df.limit(max_rows + 1).collect()
     return rows if len(rows) <= max_rows else None
+
+
+def small_numbers(df: DataFrame, max_rows: int):
+    """The first column, of whole numbers, as a sorted array if there are at most ``max_rows`` rows, else None.
+
+    It comes as Arrow, at 8 bytes a row.
+    """
+    import numpy as np
+
+    values = df.limit(max_rows + 1).toArrow().column(0).to_numpy()
+    return np.sort(values.astype(np.int64)) if len(values) <= max_rows else None
