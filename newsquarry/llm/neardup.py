@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsquarry.operators.graph import components
-from newsquarry.session import cut, small_enough
+from newsquarry.session import cut, small_numbers
 
 #: MinHash values a text, and how many make a band.  At similarity 0.7 a pair shares no band once in 6,600.
 HASHES = 128
@@ -291,8 +291,8 @@ def _sets_of(some: DataFrame, members: DataFrame, candidates: DataFrame, prepare
     ids = candidates.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     chosen = members.join(ids, "doc", "left_semi").groupBy("doc").agg(F.min("k").alias("k")).select(F.xxhash64("k").alias("h")).distinct()
     chosen = cut(chosen)
-    listed = small_enough(chosen, MAX_BROADCAST)
-    known = some.sparkSession.sparkContext.broadcast(np.array(sorted(r[0] for r in listed), np.int64)) if listed is not None else None
+    listed = small_numbers(chosen, MAX_BROADCAST)
+    known = some.sparkSession.sparkContext.broadcast(listed) if listed is not None else None
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
