@@ -29,6 +29,10 @@ STOPWORDS = (
 # How the appeal at the end of a body begins.
 FOOTER_MARKERS = ("mọi sự giúp đỡ", "mọi đóng góp", "mọi sự ủng hộ", "bạn đọc giúp", "bạn đọc ủng hộ", "ủng hộ qua số tài khoản", "báo vietnamnet khuyến cáo", "cảnh báo thủ đoạn lừa đảo")
 WORD = r"[\p{L}\p{N}_]"
+# A source's name at the end of a title, loosely and with spaces around its dash, and lines that are entries of a list.
+LOOSE_SUFFIX = r"\s*[\-|–—]\s*[^\-|–—]{1,60}$"
+SPACED_SUFFIX = r"(\s+[-–|]\s+[^-–|]{2,60}\s*)$"
+LIST_ENTRY = r"(?i)^\s*[*\-]\s*\[?!\[?Image|^\s*[*\-]\s+\[.*\]\(https?://"
 
 
 def _column(c: Column | str) -> Column:
@@ -44,7 +48,7 @@ def normal_title(title: Column | str) -> Column:
     """Comparable form of a title: up to three trailing ``- source`` parts off, folded, words only."""
     s = F.trim(F.coalesce(_column(title), F.lit("")))
     for _ in range(3):
-        s = F.rtrim(F.regexp_replace(s, r"\s*[\-|–—]\s*[^\-|–—]{1,60}$", ""))
+        s = F.rtrim(F.regexp_replace(s, LOOSE_SUFFIX, ""))
     return F.trim(F.regexp_replace(fold(s), r"[^\p{L}\p{N}_]+", " "))
 
 
@@ -71,7 +75,7 @@ def jaccard(a: Column, b: Column) -> Column:
 def strip_source_suffix(title: Column | str, source: Column | str) -> Column:
     """Title without its last `` - X`` where X and the source hold one another, spaces and case aside."""
     t, s = F.coalesce(_column(title), F.lit("")), F.coalesce(_column(source), F.lit(""))
-    suffix = F.regexp_extract(t, r"(\s+[-–|]\s+[^-–|]{2,60}\s*)$", 1)
+    suffix = F.regexp_extract(t, SPACED_SUFFIX, 1)
     x = F.regexp_replace(F.lower(F.regexp_replace(suffix, r"^[\s\-–|]+|[\s\-–|]+$", "")), " ", "")
     y = F.regexp_replace(F.lower(F.trim(s)), " ", "")
     alike = (suffix != "") & (x != "") & (y != "") & (y.contains(x) | x.contains(y))
@@ -81,7 +85,7 @@ def strip_source_suffix(title: Column | str, source: Column | str) -> Column:
 def strip_related_blocks(body: Column | str) -> Column:
     """Body without the lines that are image or link entries of a list."""
     b = _column(body)
-    lines = F.filter(F.split(b, r"\R"), lambda x: ~x.rlike(r"(?i)^\s*[*\-]\s*\[?!\[?Image|^\s*[*\-]\s+\[.*\]\(https?://"))
+    lines = F.filter(F.split(b, r"\R"), lambda x: ~x.rlike(LIST_ENTRY))
     return F.when(b.isNull() | (b == ""), b).otherwise(F.regexp_replace(F.array_join(lines, "\n"), r"^\s+|\s+$", ""))
 
 
