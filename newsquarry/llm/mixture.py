@@ -2,8 +2,8 @@
 
 A source's weight is its share of tokens times (target share / share of tokens)
 to a power: 1 gives the targets, 0 the shares as they are; without targets the
-share itself is exponentiated, 1 as it is and 0 all alike.  The power is
-bisected to meet a limit of repetition or an entropy.  The weights are then
+share itself is exponentiated, 1 as it is and 0 all alike.  The power is the
+largest that meets the limits of repetition, or an entropy.  The weights are then
 realised: whole passes over a source, and for the rest of its budget blocks of
 a hash permutation up to the block in which the budget ends.
 """
@@ -15,6 +15,7 @@ import math
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,33 +84,75 @@ def bisect_power(meets, low: float = 0.0, high: float = 1.0, steps: int = 60) ->
     return low
 
 
+def largest_power(tokens: dict, targets: dict | None, limits: dict, total: float) -> float | None:
+    """The largest power in [0, 1] at which no source has to be repeated more than its limit for ``total``, None if there is none.
+
+    A source's own bound on the total may fall or rise with the power: one whose share is
+    above its target is asked for more as the power falls.  But its logarithm is convex, so
+    a source that breaks at a power and not at 0 does so above one point only, and one that
+    breaks at both breaks everywhere between them.
+    """
+    base = tempered(tokens, 0.0 if targets is not None else 1.0, targets)
+    if not base or total <= 0:
+        return 1.0
+    share = np.array(list(base.values()))
+    step = np.log(share if targets is None else np.array([targets[s] for s in base]) / share)
+    start = np.zeros(len(share)) if targets is None else np.log(share)
+    most = np.array([tokens[s] * limits[s] for s in base], float)
+    if (most <= 0).any():
+        return None
+    room = np.log(most) - math.log(total)
+
+    def slack(power: float) -> np.ndarray:
+        raw = start + power * step
+        top = raw.max()
+        return room - raw + top + math.log(np.exp(raw - top).sum())
+
+    # a hair of room for rounding: at power 0 a bound may be met exactly
+    power, at_zero = 1.0, slack(0.0) + 1e-12
+    while (now := slack(power)).min() < -1e-12:
+        worst = int(now.argmin())
+        if at_zero[worst] < 0 or power == 0:
+            return None
+        low, high = 0.0, power
+        for _ in range(60):
+            mid = (low + high) / 2
+            low, high = (mid, high) if slack(mid)[worst] >= 1e-12 else (low, mid)
+        power = low
+    return power
+
+
+def power_of(tokens: dict, targets: dict | None, limits: dict, total: float | None = None, target_entropy: float | None = None) -> float:
+    """The power that ``plan`` takes."""
+    if target_entropy is not None:
+        return bisect_power(lambda p: entropy(tempered(tokens, p, targets)) >= target_entropy)
+    power = 1.0 if total is None else largest_power(tokens, targets, limits, total)
+    return 1.0 if power is None else power
+
+
 def plan(tokens: dict, targets: dict | None, limits: dict, total: float | None = None, target_entropy: float | None = None) -> tuple[dict, float]:
     """(weights, total tokens).
 
     Without ``total`` the targets are met exactly and the total is the largest the
-    limits allow.  With one, the power goes down from 1 until the limits hold, and the
-    total is cut down where even power 0 breaks them.  ``target_entropy``, for a mixture
-    without targets, is met instead by a power between 0 and 1.
+    limits allow.  With one, the power is the largest up to 1 at which the limits hold;
+    where there is none the targets are kept and the total is cut down to what the limits
+    allow.  ``target_entropy``, for a mixture without targets, is met instead by a power
+    between 0 and 1.
     """
-    if target_entropy is not None:
-        power = bisect_power(lambda p: entropy(tempered(tokens, p, targets)) >= target_entropy)
-    elif total is not None:
-        power = bisect_power(lambda p: most_tokens(tempered(tokens, p, targets), tokens, limits) >= total)
-    else:
-        power = 1.0
-    weights = tempered(tokens, power, targets)
+    weights = tempered(tokens, power_of(tokens, targets, limits, total, target_entropy), targets)
     most = most_tokens(weights, tokens, limits)
     return weights, most if total is None else min(total, most)
 
 
-def mix(docs: DataFrame, key: str, source: str, text: str, targets: DataFrame, ranks: str = RANKS, total: float | None = None, seed: int = 1) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, key: str, source: str, text: str, targets: DataFrame, ranks: str = RANKS, total: float | None = None, seed: int = 1, passes: float | None = None) -> tuple[DataFrame, DataFrame]:
     """(uses, shares): uses (key, source, n_tokens, uses) with uses above 0, and shares (source, target_share,
-    docs, tokens, used_docs, used_tokens, actual_share, most_uses), one row for each row of ``targets``.
+    docs, tokens, used_docs, used_tokens, actual_share, most_uses, power), one row for each row of ``targets``.
 
     ``targets`` has (source, target_share, max_repeats).  A null source, a source without a
     target and a text without tokens are not used.  A listed source without tokens has an
     actual share of 0 and the others share its target in proportion.  Repeated rows of
-    ``docs`` are one document.
+    ``docs`` are one document.  ``passes`` gives the total as a multiple of the tokens of
+    the sources that can be used; ``power`` is the power the targets were tempered with.
     """
     spark = docs.sparkSession
     goal = targets.select(F.col("source").alias("source"), F.col("target_share").cast("double").alias("target_share"), F.col("max_repeats").cast("int").alias("max_repeats")).where("source IS NOT NULL")
@@ -124,6 +167,9 @@ def mix(docs: DataFrame, key: str, source: str, text: str, targets: DataFrame, r
     share = {r["source"]: r["target_share"] or 0.0 for r in listed}
     limit = {r["source"]: max(0, r["max_repeats"] if r["max_repeats"] is not None else 0) for r in listed}
     live = {s: n for s, n in tokens.items() if limit[s] > 0}
+    if passes is not None:
+        total = passes * sum(n for s, n in live.items() if share[s] > 0)
+    power = power_of(live, share, limit, total)
     weights, amount = plan(live, share, limit, total)
 
     rows = []
@@ -153,4 +199,4 @@ def mix(docs: DataFrame, key: str, source: str, text: str, targets: DataFrame, r
     report = goal.join(have, "source", "left").join(used, "source", "left").na.fill(0, ["docs", "tokens", "used_docs", "used_tokens", "most_uses"])
     everything = used.agg(F.sum("used_tokens").alias("n")).first()["n"] or 0
     report = report.withColumn("actual_share", F.col("used_tokens") / F.lit(everything) if everything else F.lit(0.0))
-    return uses.withColumnRenamed("k", key), report.select("source", "target_share", "max_repeats", "docs", "tokens", "used_docs", "used_tokens", "actual_share", "most_uses")
+    return uses.withColumnRenamed("k", key), report.select("source", "target_share", "max_repeats", "docs", "tokens", "used_docs", "used_tokens", "actual_share", "most_uses", F.lit(power).alias("power"))

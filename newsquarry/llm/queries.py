@@ -9,7 +9,7 @@ from newsquarry.functions.url import domain_of
 from newsquarry.llm.boilerplate import find_furniture
 from newsquarry.llm.canonical import noncanonical_fields
 from newsquarry.llm.leakage import leaks
-from newsquarry.llm.mixture import mix, with_tokens
+from newsquarry.llm.mixture import mix
 from newsquarry.llm.neardup import classes, expand, near_pairs
 from newsquarry.llm.residue import find_residue, mine_templates, report_text
 from newsquarry.llm.site_lines import repeated_lines
@@ -99,10 +99,8 @@ def p4_classes(spark: SparkSession, root: str) -> DataFrame:
 
 @query("p9_tempered")
 def p9_tempered(spark: SparkSession, root: str) -> DataFrame:
-    """Shares of a mixture as large as all documents: the targets are tempered until the limits of repetition hold."""
-    docs = table(spark, root, "documents")
-    size = with_tokens(docs.select("text"), "text").agg(F.sum("n_tokens")).first()[0]
-    return mix(docs, "doc_id", "source", "text", table(spark, root, "mix_targets"), total=float(size or 0))[1]
+    """Shares of a mixture as large as the documents of the listed sources: the targets are tempered as far as the limits of repetition need it."""
+    return mix(table(spark, root, "documents"), "doc_id", "source", "text", table(spark, root, "mix_targets"), passes=1.0)[1]
 
 
 def _cut_values(spark: SparkSession, root: str) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from newsquarry.llm import toxicity
-from newsquarry.llm.mixture import RANKS, bisect_power, entropy, mix, most_tokens, plan, tempered, with_tokens
+from newsquarry.llm.mixture import RANKS, bisect_power, entropy, largest_power, mix, most_tokens, plan, tempered, with_tokens
 from newsquarry.llm.toxicity import SEEDS, Boosted, features, reviewed, scores, train, unmask
 from newsquarry.llm.truncation import cut_values, ending
 
@@ -70,6 +70,33 @@ def test_tempering():
     assert plan({}, {"a": 1.0}, {"a": 1}) == ({}, 0.0)
 
 
+def test_power_where_some_bounds_rise():
+    # b holds more than its target and may not be repeated: less power asks for more of it
+    tokens, targets, limits = {"a": 100, "b": 400, "c": 500}, {"a": 0.3, "b": 0.2, "c": 0.5}, {"a": 4, "b": 1, "c": 2}
+    w, total = plan(tokens, targets, limits, total=1_200)
+    assert w == pytest.approx(targets) and total == 1_200
+    # no power reaches the total: the targets stay and the total is cut
+    w, total = plan(tokens, targets, limits, total=5_000)
+    assert largest_power(tokens, targets, limits, 5_000) is None and w == pytest.approx(targets) and total == pytest.approx(400 / 0.3)
+    r = random.Random(5)
+    for _ in range(200):
+        n, t, m = ({s: f() for s in "abcde"} for f in (lambda: r.randrange(10, 900), r.random, lambda: r.randrange(1, 5)))
+        total = r.uniform(0.5, 2) * sum(n.values())
+        power = largest_power(n, t, m, total)
+        fits = [p for p in np.linspace(0, 1, 501) if most_tokens(tempered(n, p, t), n, m) >= total]
+        assert not fits if power is None else most_tokens(tempered(n, power, t), n, m) >= total * (1 - 1e-9) and max(fits, default=0) <= power + 1e-9
+
+
+def test_mix_of_a_pass_keeps_the_targets(spark):
+    docs = [(i, s, "từ " * 20) for i, s in enumerate(["a"] * 100 + ["b"] * 400 + ["c"] * 500 + ["unlisted"] * 700)]
+    t = spark.createDataFrame([("a", 0.3, 4), ("b", 0.2, 1), ("c", 0.5, 2)], "source string, target_share double, max_repeats int")
+    d = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    got = {r.source: r for r in mix(d, "doc_id", "source", "text", t, passes=1.0)[1].collect()}
+    assert {r.power for r in got.values()} == {1.0}
+    assert {s: round(r.actual_share, 2) for s, r in got.items()} == {"a": 0.3, "b": 0.2, "c": 0.5}
+    assert sum(r.used_tokens for r in got.values()) == pytest.approx(sum(r.tokens for r in got.values()), rel=0.01)
+
+
 def test_mix(spark):
     r = random.Random(8)
     docs = [(i, s, "từ " * r.randrange(5, 60), "q") for i, s in enumerate(["a"] * 300 + ["b"] * 40 + ["c"] * 90 + ["u"] * 50)]
