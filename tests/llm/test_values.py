@@ -58,6 +58,21 @@ def test_cut_values_joined(spark, monkeypatch):
     assert got["1"] and not got["2"]
 
 
+def test_copies_decide_before_the_outlets_habit(spark):
+    rows = [(f"c{i}", f"Câu số {i} đã xong.", None, None) for i in range(9)]
+    rows += [
+        ("one", "Công ty xả thải ra sông", None, "Công ty xả thải ra sông. Dân kêu."),
+        ("two", "Mưa lớn ở kênh. Nước dâng cao", None, "Tin. Mưa lớn ở kênh. Nước dâng cao. Dân kêu."),
+        ("goes on", "Gió mạnh ở cảng. Tàu phải neo", None, "Gió mạnh ở cảng. Tàu phải neo lại. Dân kêu."),
+        ("marked copy", "Thép tăng giá. Kho còn mười", "Thép tăng giá. Kho còn mười [...]", "Thép tăng giá. Kho còn mười tấn. Dân kêu."),
+        ("marked copy only", "Thuế mới ra. Chợ vắng vì", "Thuế mới ra. Chợ vắng vì… xem tiếp »", None),
+        ("no copy", "Lương đã trả. Nhà máy vẫn", None, None),
+    ]
+    df = spark.createDataFrame([(*r, "A", "a.vn") for r in rows], "id string, description string, sapo string, body string, source string, domain string")
+    got = {r.id for r in cut_values(df, "id", ["description"], "source", "domain", ["body", "description", "sapo"]).where("is_cut").collect()}
+    assert got == {"goes on", "marked copy", "marked copy only", "no copy"}
+
+
 def test_tempering():
     tokens = {"a": 100, "b": 300, "c": 600, "z": 0}
     assert tempered(tokens, 1) == {"a": 0.1, "b": 0.3, "c": 0.6} and set(tempered(tokens, 0).values()) == {1 / 3}
