@@ -68,8 +68,8 @@ _DOTTED = re.compile(r"(?<![^\W\d_])[^\W\d_](?:[.\-_·](?:[^\W_]| (?=[.\-_·])))
 _SPACED = re.compile(r"(?<![^\W_])[^\W_](?: {1,3}[^\W_]){2,}(?![^\W_])")
 _LONG = re.compile(r"([^\W\d_])\1{2,}")
 _LEET = re.compile(r"[^\W_]*[0-9@$][^\W_@$]*")
-_MASKED = re.compile(r"[^\W_][*#]{1,}[^\W_]")
-_SUSPECT = re.compile(r"\w[*#]+\w|[^\W\d_][.\-_·][^\W\d_][.\-_·\s]|(?<![^\W_])[^\W_] {1,3}[^\W_] {1,3}[^\W_](?![^\W_])|([^\W\d_])\1\1|[^\W\d_][013457@$][^\W\d_]|(?<!\S)[5170@$4][^\W\d_]")
+_STARRED = re.compile(r"[^\W_]+[*#]+[^\W_]+|(?<![*#\w])[^\W_]+[*#]+")
+_STAR = re.compile(r"[^\W_][*#]")
 
 
 def _fold(text: str) -> str:
@@ -102,6 +102,14 @@ class _Lexicon:
                 for q in (p, _fold(p)):
                     self.masks.setdefault((q[0], q[-1], len(q)), (p, kind))
         self.masks.setdefault(("n", "u", 3), ("ngu", "insult"))
+        # by first letter and length: phrases, and their words with the words around them
+        self.begun: dict[tuple[str, int], list[tuple[str, str, str, str]]] = {("n", 3): [("ngu", "", "", "insult")]}
+        for kind in _HARD:
+            for q in dict.fromkeys(q for p in PHRASES[kind] for q in (p, _fold(p))):
+                words = q.split()
+                parts = [(w, " ".join([*words[:i], ""]), " ".join(["", *words[i + 1 :]]), kind) for i, w in enumerate(words)] if len(words) > 1 else []
+                for part in [(q, "", "", kind), *parts]:
+                    self.begun.setdefault((part[0][0], len(part[0])), []).append(part)
 
 
 _lex: list[_Lexicon] = []
@@ -149,11 +157,16 @@ def unmask(sentence: str) -> tuple[str, int, list[tuple[int, str]]]:
     starred = []
     if "*" in text or "#" in text:
         masks = _lexicon().masks
-        for m in re.finditer(r"[^\W_]+[*#]+[^\W_]+|[^\W_]+[*#]{2,}", text):
+        for m in _STARRED.finditer(text):
             w = m.group()
             first = re.match(r"[^\W_]+", w).group()
             last = re.search(r"[^\W_]*$", w).group()
             if not last:
+                for q, before, after, kind in _lexicon().begun.get((w[0], len(w)), ()):
+                    if q.startswith(first) and text.endswith(before, 0, m.start()) and text.startswith(after, m.end()):
+                        starred.append((m.start(), kind))
+                        n += 1
+                        break
                 continue
             for (a, b, size), (_, kind) in masks.items():
                 if w[0] == a and w[-1] == b and len(w) == size:
@@ -205,14 +218,26 @@ def _heat(f: dict[str, float]) -> float:
     return sum(f[k] for k in _HARD) + 0.5 * min(1, f["person"]) + 0.5 * min(1, f["offer"]) - 0.7 * min(2, f["report"]) - 0.5 * f["quoted"]
 
 
+def _may_matter(low: str) -> bool:
+    """Whether ``low`` can hold a phrase once ``unmask`` has undone what it can; no text that does is passed over."""
+    hard = _lexicon().hard
+    if next(hard.iter(low), None) is not None:
+        return True
+    if (("*" in low or "#" in low) and _STAR.search(low)) or _LONG.search(low) or _DOTTED.search(low) or _SPACED.search(low):
+        return True
+    # without those, unmasking only puts single letters for single signs, and phrases hold no signs
+    for sign, letter in LEET.items():
+        low = low.replace(sign, letter)
+    return next(hard.iter(low), None) is not None
+
+
 def features(text: str | None) -> np.ndarray:
     """FEATURES of a document: those of its hottest sentence, and counts over all of them.  No text has none."""
     out = np.zeros(len(FEATURES), np.float32)
     if not text:
         return out
     text = canonical(text)
-    low = text.lower()
-    if next(_lexicon().hard.iter(low), None) is None and not _SUSPECT.search(low):
+    if not _may_matter(text.lower()):
         return out
     best, heat, hot = None, -9.0, 0
     for s in _SPLIT.split(text):

@@ -162,6 +162,29 @@ def test_features():
     assert features("Thằng đó ngu như lợn. " + "Câu thường. " * 30_000)[name("insult")] == 1
 
 
+FOUND = ["tr@5h", "id10t", "a55hole", "a$$hole", "\"1diot\"", "(3scort)", "5tup1d", "đồ m@@@t dạy f***", "you i****", "you stup**", "b1tch", "shi*", "Lũ c**", "đồ n**", "f***!"]
+CLEAN = ["G7, Q3 và 10h30 ở TP.HCM", "vitamin **C**", "Nguyễn Văn T**", "thép**", "giá 5***", "covid19", "@home", "a1b2"]
+
+
+@pytest.mark.parametrize("text,found", [(t, True) for t in FOUND] + [(t, False) for t in CLEAN])
+def test_masked_words_alone(text, found):
+    assert bool(features(text).sum()) == found
+
+
+def test_no_masked_word_is_passed_over(monkeypatch):
+    r = random.Random(2)
+    phrases = [p for k in ("insult", "threat", "group", "sexual") for p in toxicity.PHRASES[k]]
+    signs = {b: [a for a, c in toxicity.LEET.items() if c == b] for b in toxicity.LEET.values()}
+    texts = []
+    for _ in range(2000):
+        p = "".join(r.choice([c, *signs.get(c, [])]) for c in r.choice(phrases))
+        p = r.choice([p, ".".join(p), " ".join(p), "".join(c * r.choice([1, 1, 3]) for c in p), p[0] + "*" * (len(p) - 1), p[0] + "**" + p[3:]])
+        texts.append(r.choice(["", "\"", "Họ nói: "]) + p + r.choice(["", "!", ". Hết."]))
+    got = [features(t).tolist() for t in texts]
+    monkeypatch.setattr(toxicity, "_may_matter", lambda low: True)
+    assert got == [features(t).tolist() for t in texts]
+
+
 def test_trees_learn_and_are_calibrated():
     rng = np.random.default_rng(3)
     x = np.zeros((3000, len(toxicity.FEATURES)))
