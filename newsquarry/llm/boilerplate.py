@@ -72,24 +72,44 @@ _MARKUP = re.compile(r"\]\(|https?://|[|•»≡]")
 SIGMA = 1.0
 #: Ratio, in characters a tag, at or below which a line is the inside of a page element.
 ELEMENT_RATIO = 4.0
+# Tags of running text and its headings; others, links among them, make the frame of a page.
+TEXT_TAGS = frozenset("p br b i u em strong span sub sup small mark h1 h2 h3 h4 h5 h6 blockquote q cite figcaption noscript html body article main".split())
+_TAG = re.compile(r"<[^<>]*>")
 
 
 class _Events(HTMLParser):
-    """Counts of tags and characters of text by line."""
+    """Counts of tags, of those that are not TEXT_TAGS, and of characters of text outside links by line."""
 
     def __init__(self, n: int):
         super().__init__(convert_charrefs=True)
-        self.tags, self.chars = [0] * n, [0] * n
+        self.tags, self.frame, self.chars = [0] * n, [0] * n, [0] * n
+        self.linked = False
 
     def _at(self) -> int:
         return min(self.getpos()[0] - 1, len(self.tags) - 1)
 
-    def handle_starttag(self, tag, attrs):
+    def _count(self, tag):
         self.tags[self._at()] += 1
+        self.frame[self._at()] += tag not in TEXT_TAGS
+
+    def handle_starttag(self, tag, attrs):
+        self._count(tag)
+        if tag == "a":
+            self.linked = any(k == "href" for k, _ in attrs)
+        elif tag in ("p", "div", "li", "ul", "td", "tr", "section"):  # a link that was not closed
+            self.linked = False
 
-    handle_endtag = handle_startendtag = lambda self, tag, attrs=None: self.handle_starttag(tag, attrs)
+    def handle_startendtag(self, tag, attrs):
+        self._count(tag)
+
+    def handle_endtag(self, tag):
+        self._count(tag)
+        if tag in ("a", "p", "div", "li", "ul", "td", "tr", "section"):
+            self.linked = False
 
     def handle_data(self, data):
+        if self.linked:
+            return
         at = self._at()
         for k, part in enumerate(data.split("\n")):
             if at + k < len(self.chars):
@@ -109,18 +129,24 @@ def _is_title(raw: str, words: list[str]) -> bool:
     return len(words) >= 5 and first.isascii() and len(first) >= 5
 
 
-def line_ratios(lines: list[str]) -> list[float | None]:
-    """Text-to-tag ratio of every line, None for blank lines."""
+def _parsed(lines: list[str]) -> tuple[list[int], list[int], list[int]]:
+    """(tags, those of the page's frame, characters of text outside links) by line."""
     n = len(lines)
-    tags, chars = [0] * n, [len(x.strip()) for x in lines]
     if any("<" in x for x in lines):
         parser = _Events(n)
         try:
             parser.feed("\n".join(lines))
             parser.close()
-            tags, chars = parser.tags, [max(c, 0) for c in parser.chars]
+            return parser.tags, parser.frame, [max(c, 0) for c in parser.chars]
         except AssertionError:  # the parser gives up on some broken declarations; the text alone then counts
             pass
+    return [0] * n, [0] * n, [len(x.strip()) for x in lines]
+
+
+def line_ratios(lines: list[str], parsed: tuple | None = None) -> list[float | None]:
+    """Text-to-tag ratio of every line, None for blank lines."""
+    n = len(lines)
+    tags, _, chars = parsed or _parsed(lines)
     out: list[float | None] = [None] * n
     element = ""
     lows = [x.lower() for x in lines]
@@ -194,22 +220,32 @@ def threshold(values: list[float]) -> float:
 def furniture_lines(body: str) -> list[int]:
     """Numbers of the non-blank lines of ``body`` that are not part of the report."""
     lines = canonical(body).split("\n")
-    ratios = line_ratios(lines)
+    parsed = _parsed(lines)
+    ratios = line_ratios(lines, parsed)
     where = [i for i, r in enumerate(ratios) if r is not None]
     if not where:
         return []
     own = [math.log1p(ratios[i]) for i in where]
     least = math.log1p(ELEMENT_RATIO)
-    # between the clusters only lines full of marks are in question
-    open_ = {i for i, r in zip(where, own) if r > least and len(_MARKUP.findall(lines[i])) >= 2 and not _SENTENCE_END.search(lines[i].strip())}
+    # words and ends of sentences are those of the text, not of the markup
+    plain = {i: _TAG.sub(" ", lines[i]).strip() if parsed[0][i] else lines[i].strip() for i in where}
+    # between the clusters only lines full of marks or with tags of the page's frame are in question
+    sentence = {i for i in where if parsed[1][i] and _SENTENCE_END.search(plain[i])}
+    tagged = {i for i in where if parsed[1][i]} - sentence
+    open_ = tagged | {i for i, r in zip(where, own) if r > least and len(_MARKUP.findall(lines[i])) >= 2 and not _SENTENCE_END.search(lines[i].strip())}
     flat = smooth(own) if open_ else own
     border = threshold(flat) if open_ else 0.0
     out = []
     for i, r, s in zip(where, own, flat):
-        if r <= least:
-            if ratios[i] == 0 or len(lines[i].split()) <= 2:
+        if r <= least and len(plain[i].split()) <= 2:
+            out.append(i)
+        elif ratios[i] == 0 and (i not in sentence or parsed[2][i]):  # a sentence that is a link may be the report's
+            out.append(i)
+        elif i in tagged:
+            # beside furniture the smoothed ratio of a paragraph falls, its own does not
+            if max(r, s) <= border:
                 out.append(i)
-        elif i in open_ and s <= border:
+        elif r > least and i in open_ and s <= border:
             out.append(i)
     return out
 

@@ -108,6 +108,27 @@ def test_parser_events_and_smoothing():
     assert smooth([2.0] * 5) == pytest.approx([2.0] * 5) and 1 < threshold([1.0, 1.1, 5.0, 5.2]) < 5 and threshold([3.0, 3.0]) < 3
 
 
+HTML_PAGE = [
+    ("<ul class=\"menu\">", True), ("<li><a href=\"/\">Trang chu</a></li>", True), ("<li><a href=\"/kinh-te\">Kinh te va doanh nghiep</a></li>", True), ("<li><a href=\"/x\" class=\"b\">Moi truong song</a></li> <li><a href=\"/y\">Lao dong viec lam</a></li>", True), ("</ul>", True),
+    ("<h1>Nhà máy xả thải ra sông, dân kêu cứu</h1>", False),
+    ("<p>Công ty đã xả nước thải chưa xử lý ra sông trong nhiều tháng, theo biên bản của đoàn kiểm tra liên ngành.</p>", False),
+    ("<p>Ông H. nói.</p>", False),
+    ("<p>Đoàn kiểm tra do <a href=\"/so\">Sở Môi trường</a> lập đã lấy mẫu ở ba điểm xả, kết quả vượt ngưỡng cho phép nhiều lần.</p>", False),
+    ("<h2>Hậu quả rất nặng nề</h2>", False),
+    ("<p><a href=\"/kl\">Kết luận kiểm tra dài bốn mươi trang đã được công bố.</a></p>", False),
+    ("<p>Người dân hai xã ven sông cho biết cá chết hàng loạt, nước giếng đổi màu và có mùi khó chịu suốt mùa khô.</p>", False),
+    ("<div><a href=\"/a\">Gia thep tang</a> <a href=\"/b\">Lu ve som</a> <a href=\"/c\">Cang moi mo</a></div>", True),
+    ("<div><a href=\"/d\">Dieu khoan dung</a> <a href=\"/e\">Lien he toa soan</a></div>", True),
+]
+
+
+def test_html_page():
+    found = set(furniture_lines("\n".join(x for x, _ in HTML_PAGE)))
+    assert [i in found for i in range(len(HTML_PAGE))] == [y for _, y in HTML_PAGE]
+    report = [x for x, y in HTML_PAGE if not y and "Ông" not in x]
+    assert furniture_lines("\n".join(report)) == []
+
+
 def test_find_furniture(spark):
     df = spark.createDataFrame([("a", PAGE, 1), ("a", PAGE, 2), ("b", None, 3), ("c", "", 4), (None, "© 2024 X", 5), ("d", "Câu. " * 50_000, 6), ("e", BAD[0], 7)], "article_id string, body string, k int")
     got = [(r.article_id, r.line_no) for r in find_furniture(df, "article_id", "body").collect()]
