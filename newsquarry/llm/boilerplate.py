@@ -217,9 +217,9 @@ def threshold(values: list[float]) -> float:
     return (low + high) / 2
 
 
-def furniture_lines(body: str) -> list[int]:
-    """Numbers of the non-blank lines of ``body`` that are not part of the report."""
-    lines = canonical(body).split("\n")
+def furniture_lines(body: str, ready: bool = False) -> list[int]:
+    """Numbers of the non-blank lines of ``body``, ``ready`` if in the consistent form, that are not part of the report."""
+    lines = (body if ready else canonical(body)).split("\n")
     parsed = _parsed(lines)
     ratios = line_ratios(lines, parsed)
     where = [i for i, r in enumerate(ratios) if r is not None]
@@ -228,16 +228,16 @@ def furniture_lines(body: str) -> list[int]:
     own = [math.log1p(ratios[i]) for i in where]
     least = math.log1p(ELEMENT_RATIO)
     # words and ends of sentences are those of the text, not of the markup
-    plain = {i: _TAG.sub(" ", lines[i]).strip() if parsed[0][i] else lines[i].strip() for i in where}
+    plain = {i: _TAG.sub(" ", lines[i]).strip() for i in where if parsed[0][i]} if any(parsed[0]) else {}
     # between the clusters only lines full of marks or with tags of the page's frame are in question
-    sentence = {i for i in where if parsed[1][i] and _SENTENCE_END.search(plain[i])}
-    tagged = {i for i in where if parsed[1][i]} - sentence
+    sentence = {i for i in plain if parsed[1][i] and _SENTENCE_END.search(plain[i])}
+    tagged = {i for i in plain if parsed[1][i]} - sentence
     open_ = tagged | {i for i, r in zip(where, own) if r > least and len(_MARKUP.findall(lines[i])) >= 2 and not _SENTENCE_END.search(lines[i].strip())}
     flat = smooth(own) if open_ else own
     border = threshold(flat) if open_ else 0.0
     out = []
     for i, r, s in zip(where, own, flat):
-        if r <= least and len(plain[i].split()) <= 2:
+        if r <= least and len(plain.get(i, lines[i]).split()) <= 2:
             out.append(i)
         elif ratios[i] == 0 and (i not in sentence or parsed[2][i]):  # a sentence that is a link may be the report's
             out.append(i)
@@ -250,10 +250,11 @@ def furniture_lines(body: str) -> list[int]:
     return out
 
 
-def main_lines(body: str) -> list[str]:
-    """The report's own lines, in the consistent form."""
-    lines = canonical(body).split("\n")
-    drop = set(furniture_lines(body))
+def main_lines(body: str, ready: bool = False) -> list[str]:
+    """The report's own lines, in the consistent form, in which ``body`` is if it is ``ready``."""
+    text = body if ready else canonical(body)
+    lines = text.split("\n")
+    drop = set(furniture_lines(text, ready=True))
     return [x for i, x in enumerate(lines) if i not in drop and x.strip()]
 
 

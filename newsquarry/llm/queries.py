@@ -11,7 +11,7 @@ from newsquarry.llm.canonical import noncanonical_fields
 from newsquarry.llm.leakage import leaks
 from newsquarry.llm.mixture import mix
 from newsquarry.llm.neardup import classes, expand, near_pairs
-from newsquarry.llm.residue import find_residue, mine_templates, report_text
+from newsquarry.llm.residue import Reports, find_residue, mine_templates
 from newsquarry.llm.site_lines import repeated_lines
 from newsquarry.llm.toxicity import reviewed, scores, train
 from newsquarry.llm.truncation import cut_values
@@ -83,7 +83,8 @@ def p7_sites(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _near(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    return near_pairs(table(spark, root, "articles"), "article_id", "body", size=3, similarity=0.6, main_text=report_text)
+    articles = table(spark, root, "articles")
+    return near_pairs(articles, "article_id", "body", size=3, similarity=0.6, main_text=Reports(articles, "body"))
 
 
 @query("p4_found")

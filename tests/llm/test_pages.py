@@ -59,6 +59,18 @@ def test_find_residue_and_mining(spark, monkeypatch):
     assert find_residue(df.limit(0), "k", "b").count() == 0 and mine_templates(df.limit(0), "b").count() == 0
 
 
+def test_near_duplicates_leave_out_what_is_residue(spark, tmp_path):
+    from newsquarry.llm import queries
+
+    # the second message has a class by the template of the first only
+    bodies = ["Your request was blocked by the firewall error", "Your request was stopped by the firewall error"]
+    rows = [(f"{i}-{j}", b) for i, b in enumerate([*bodies, REPORT, REPORT + " Thêm."]) for j in range(2)]
+    spark.createDataFrame(rows, "article_id string, body string").write.parquet(f"{tmp_path}/articles.parquet")
+    residue_ids = {r.article_id for r in queries.QUERIES["p3_found"](spark, str(tmp_path)).collect()}
+    near = {x for r in queries.QUERIES["p4_found"](spark, str(tmp_path)).collect() for x in tuple(r)[:2]}
+    assert residue_ids == {"0-0", "0-1", "1-0", "1-1"} and near == {"2-0", "2-1", "3-0", "3-1"}
+
+
 PAGE = """Trang chủ
 
 Ảnh
