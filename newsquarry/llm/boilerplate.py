@@ -5,9 +5,11 @@ parser, and the marks that stand for tags once a page was flattened to text
 (links, bullets, separators, and the set phrases of menus, notices, appeals
 and footers, which open and close elements of their own).  Each line gets a
 ratio of text to tags; the ratios are smoothed with a Gaussian over the
-neighbouring lines and split into two clusters.  Lines inside page elements
-and lines of the low cluster that do not read like a report's own are page
-furniture.
+neighbouring lines and split into two clusters.  Furniture are the insides of
+elements, lines with tags of the page's frame in the low cluster, and lines
+whose smoothed ratio is low inside runs of lines that end no sentence; one or
+two short ones alone are headings.  Over a collection the stock lines of a
+site, found exactly by ``site_lines``, are furniture too.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsquarry.llm.canonical import canonical
+from newsquarry.session import cut
 
 # Phrases that open a list of other reports; the whole line consists of them.
 LIST_HEADS = (
@@ -66,12 +69,19 @@ for _h in _HINTS:
     _AUTOMATON.add_word(_h, None)
 _AUTOMATON.make_automaton()
 _SENTENCE_END = re.compile(r"[.!…:;][\"”’')\]]*$|[\"”][.]?$")
+_FIGURE = re.compile(r"[-–+]\s.*\d")
 _ITEM = re.compile(r"(?:[•*·]\s*|\d{1,2}[.)]\s+)")
 _MARKUP = re.compile(r"\]\(|https?://|[|•»≡]")
 #: Gaussian over neighbouring lines, in lines.
 SIGMA = 1.0
 #: Ratio, in characters a tag, at or below which a line is the inside of a page element.
 ELEMENT_RATIO = 4.0
+#: Lines that end no sentence are in question if at least so many of low ratio stand in a run; fewer are headings.
+RUN = 3
+#: Clusters part if the geometric mean of the high one is this many times that of the low one.
+PARTED = 3.0
+#: A page without any sentence is furniture as a whole if none of its lines has a ratio above this, in characters a tag.
+NO_TEXT = 60.0
 # Tags of running text and its headings; others, links among them, make the frame of a page.
 TEXT_TAGS = frozenset("p br b i u em strong span sub sup small mark h1 h2 h3 h4 h5 h6 blockquote q cite figcaption noscript html body article main".split())
 _TAG = re.compile(r"<[^<>]*>")
@@ -201,11 +211,9 @@ def smooth(values: list[float], sigma: float = SIGMA) -> list[float]:
     return out
 
 
-def threshold(values: list[float]) -> float:
-    """Border between the two clusters of ``values`` (two means); below all values if they do not part."""
+def clusters(values: list[float]) -> tuple[float, float]:
+    """The means of the low and of the high cluster of ``values`` (two means)."""
     low, high = min(values), max(values)
-    if high - low < 1.0:
-        return low - 1
     for _ in range(20):
         mid = (low + high) / 2
         a = [v for v in values if v <= mid]
@@ -214,7 +222,28 @@ def threshold(values: list[float]) -> float:
         if new == (low, high):
             break
         low, high = new
-    return (low + high) / 2
+    return low, high
+
+
+def threshold(values: list[float]) -> float:
+    """Border between the two clusters of ``values``; below all values if they do not part."""
+    if max(values) - min(values) < 1.0:
+        return min(values) - 1
+    return sum(clusters(values)) / 2
+
+
+def _runs(loose: list[bool], low: list[bool]) -> list[int]:
+    """Places in runs of ``loose`` lines of which at least RUN are ``low``."""
+    out: list[int] = []
+    run: list[int] = []
+    for at in range(len(loose) + 1):
+        if at < len(loose) and loose[at]:
+            run.append(at)
+            continue
+        if sum(low[i] for i in run) >= RUN:
+            out += run
+        run = []
+    return out
 
 
 def furniture_lines(body: str, ready: bool = False) -> list[int]:
@@ -225,27 +254,42 @@ def furniture_lines(body: str, ready: bool = False) -> list[int]:
     where = [i for i, r in enumerate(ratios) if r is not None]
     if not where:
         return []
-    own = [math.log1p(ratios[i]) for i in where]
     least = math.log1p(ELEMENT_RATIO)
     # words and ends of sentences are those of the text, not of the markup
-    plain = {i: _TAG.sub(" ", lines[i]).strip() for i in where if parsed[0][i]} if any(parsed[0]) else {}
-    # between the clusters only lines full of marks or with tags of the page's frame are in question
-    sentence = {i for i in plain if parsed[1][i] and _SENTENCE_END.search(plain[i])}
+    tagged_page = any(parsed[0])
+    plain = {i: _TAG.sub(" ", lines[i]).strip() for i in where if parsed[0][i]} if tagged_page else {}
+    texts = [plain.get(i) or lines[i].strip() for i in where]
+    ends = [bool(_SENTENCE_END.search(t) or _FIGURE.match(t)) for t in texts]
+    inside = [ratios[i] == 0 for i in where]
+    sentence = {i for i, e in zip(where, ends) if i in plain and parsed[1][i] and e}
     tagged = {i for i in plain if parsed[1][i]} - sentence
-    open_ = tagged | {i for i, r in zip(where, own) if r > least and len(_MARKUP.findall(lines[i])) >= 2 and not _SENTENCE_END.search(lines[i].strip())}
-    flat = smooth(own) if open_ else own
-    border = threshold(flat) if open_ else 0.0
+    marked = {i for i, t, e in zip(where, texts, ends) if not e and ("|" in t or "•" in t or "»" in t or "≡" in t or "](" in t or "://" in t) and len(_MARKUP.findall(lines[i])) >= 2}
+    low: set[int] = set()
+    # insides of elements are no part of a run and end it
+    loose = [not e and not x and i not in plain for i, e, x in zip(where, ends, inside)]
+    if tagged or marked:
+        # between the clusters are lines full of marks or with tags of the page's frame
+        own = [math.log1p(ratios[i]) for i in where]
+        flat = smooth(own)
+        border = threshold(flat)
+        for i, r, s in zip(where, own, flat):
+            # beside furniture the smoothed ratio of a paragraph falls, its own does not
+            if (i in tagged and max(r, s) <= border) or (i in marked and r > least and s <= border):
+                low.add(i)
+    if sum(loose) >= RUN:
+        own = [math.log1p(ratios[i]) for i in where]
+        least_mean, most_mean = clusters(own)
+        if most_mean - least_mean >= math.log(PARTED):
+            border = (least_mean + most_mean) / 2
+            flat = smooth(own)
+            low |= {where[at] for at in _runs(loose, [r <= border for r in own]) if flat[at] <= border}
+        elif max(own) <= math.log1p(NO_TEXT) and not any(e and not x for e, x in zip(ends, inside)):
+            low |= {where[at] for at in _runs(loose, loose)}
     out = []
-    for i, r, s in zip(where, own, flat):
-        if r <= least and len(plain.get(i, lines[i]).split()) <= 2:
-            out.append(i)
-        elif ratios[i] == 0 and (i not in sentence or parsed[2][i]):  # a sentence that is a link may be the report's
+    for i, t, e in zip(where, texts, inside):
+        if i in low or (e and (i not in sentence or parsed[2][i])):  # a sentence that is a link may be the report's
             out.append(i)
-        elif i in tagged:
-            # beside furniture the smoothed ratio of a paragraph falls, its own does not
-            if max(r, s) <= border:
-                out.append(i)
-        elif r > least and i in open_ and s <= border:
+        elif ratios[i] <= ELEMENT_RATIO and len(t.split()) <= 2:
             out.append(i)
     return out
 
@@ -258,30 +302,43 @@ def main_lines(body: str, ready: bool = False) -> list[str]:
     return [x for i, x in enumerate(lines) if i not in drop and x.strip()]
 
 
-def find_furniture(df: DataFrame, key: str, body: str, skip_residue: bool = True) -> DataFrame:
+def main_text(body: str) -> str:
+    """``main_lines`` as one text."""
+    return "\n".join(main_lines(body))
+
+
+def find_furniture(df: DataFrame, key: str, body: str, domain: str | None = None, skip_residue: bool = True) -> DataFrame:
     """(key, line_no) of every line of ``df``'s bodies that is page furniture.
 
     Lines are parted by a line feed and counted from 0, blank ones included.  A null
-    or blank body gives no rows, repeated rows give theirs once.  With
-    ``skip_residue`` bodies that stand in place of a report are left out.
+    or blank body gives no rows, repeated rows give theirs once.  With ``domain`` the
+    stock lines of each site are furniture as well; with ``skip_residue`` keys with a
+    body that stands in place of a report are left out.  The texts are read once; what
+    is kept of them are the keys of their lines.
     """
-    from newsquarry.llm.residue import Verdicts, verdict, verdicts_of
-
-    rows = verdicts_of(df, body) if skip_residue else None
-    known = df.sparkSession.sparkContext.broadcast(rows) if rows else None
+    from newsquarry.llm.residue import NOT_IN_QUESTION, SCANNED, judge, scan, scan_arrays
+    from newsquarry.llm.site_lines import TABLE, confirmed_lines, keyed_lines, site_of
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = Verdicts(known.value) if known else None
         for b in batches:
-            keys, numbers = [], []
-            for k, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if skip_residue and verdict(text, lookup):
-                    continue
-                found = furniture_lines(text)
-                keys += [k] * len(found)
-                numbers += found
-            yield pa.RecordBatch.from_arrays([pa.array(keys, b.schema.field(0).type), pa.array(numbers, pa.int32())], ["k", "line_no"])
-
-    schema = T.StructType([T.StructField("k", df.schema[key].dataType), T.StructField("line_no", T.IntegerType())])
-    some = df.select(F.col(key).alias("k"), F.col(body).alias("b")).where(F.col("b").rlike(r"\S"))
-    return some.mapInArrow(run, schema).distinct().withColumnRenamed("k", key)
+            texts = b.column(2).to_pylist()
+            ready = [canonical(t) for t in texts]
+            keyed = [keyed_lines(t) for t in texts]
+            found = [furniture_lines(t, ready=True) for t in ready]
+            scanned = [scan(t) if skip_residue else NOT_IN_QUESTION for t in ready]
+            columns = [pa.array([[i for i, _ in x] for x in keyed], pa.list_(pa.int32())), pa.array([[h for _, h in x] for x in keyed], pa.list_(pa.int64())), pa.array(found, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns, *scan_arrays(scanned)], ["k", "site", "numbers", "keys", "found", *SCANNED.names])
+
+    key_type = T.StructField("k", df.schema[key].dataType)
+    schema = T.StructType([key_type, *TABLE.fields, T.StructField("found", T.ArrayType(T.IntegerType())), *SCANNED.fields])
+    some = df.select(F.col(key).alias("k"), (site_of(F.col(domain)) if domain else F.lit(None).cast("string")).alias("site"), F.col(body).alias("b")).where(F.col("b").rlike(r"\S"))
+    made = cut(some.mapInArrow(run, schema))
+    out = made.select("k", F.explode("found").alias("line_no"))
+    if domain:
+        table = made.where("k IS NOT NULL AND site IS NOT NULL").select("k", "site", "numbers", "keys")
+        out = out.unionByName(confirmed_lines(table).select("k", "line_no"))
+    out = out.distinct()
+    if skip_residue:
+        bad = judge(made.where("slot OR size(messages) > 0").select("k", "site", *SCANNED.names)).select(F.col("k").alias("bad")).distinct()
+        out = out.join(bad, F.col("k").eqNullSafe(F.col("bad")), "left_anti")
+    return out.withColumnRenamed("k", key)

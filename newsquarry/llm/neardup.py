@@ -185,11 +185,12 @@ def _part_pairs(group: np.ndarray, ids: np.ndarray, sketches: np.ndarray, side:
     return pairs[:, 0], pairs[:, 1]
 
 
-def near_pairs(df: DataFrame, key: str, text: str, size: int = 5, similarity: float = 0.8, main_text: Callable[[str], str | None] | None = None) -> tuple[DataFrame, DataFrame]:
+def near_pairs(df: DataFrame, key: str, text: str, size: int = 5, similarity: float = 0.8, main_text: Callable[[str], str | None] | None = None, leave_out: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(members, pairs): members (key, doc) gives each key its distinct text; pairs (a, b) with a < b are the
     texts with at least ``similarity`` of their distinct ``size``-word runs in common.
 
-    ``main_text`` reduces a value to the text that counts, None leaves the record out.
+    ``main_text`` reduces a value to the text that counts, None leaves the record out;
+    ``leave_out`` holds, in its first column, keys that take no part.
     Null values and texts without a word are left out, an empty table gives empty
     results; repeated rows count once.  Pairs come from bands of MinHash values and are
     then exact: none below the similarity is given; one at the similarity is missed with
@@ -221,7 +222,10 @@ def near_pairs(df: DataFrame, key: str, text: str, size: int = 5, similarity: fl
 
     schema = T.StructType([T.StructField("k", key_type), T.StructField("doc", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())])
     some = df.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.col("k").isNotNull() & F.col("t").rlike(r"\S"))
-    made = cut(some.mapInArrow(features, schema))
+    made = some.mapInArrow(features, schema)
+    if leave_out is not None:  # by sketches, which are small, not by texts
+        made = made.join(leave_out.toDF("k"), "k", "left_anti")
+    made = cut(made)
     members = made.select("k", "doc").distinct()
 
     rows = made.groupBy("doc").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch")).select("doc", "sketch", F.explode("bands").alias("band"))

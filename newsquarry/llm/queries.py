@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsquarry.functions.url import domain_of
-from newsquarry.llm.boilerplate import find_furniture
+from newsquarry.llm.boilerplate import find_furniture, main_text
 from newsquarry.llm.canonical import noncanonical_fields
 from newsquarry.llm.leakage import leaks
 from newsquarry.llm.mixture import mix
 from newsquarry.llm.neardup import classes, expand, near_pairs
-from newsquarry.llm.residue import Reports, find_residue, mine_templates
-from newsquarry.llm.site_lines import repeated_lines
+from newsquarry.llm.residue import find_residue, mine_templates
+from newsquarry.llm.site_lines import repeated_lines, without_lines
 from newsquarry.llm.toxicity import reviewed, scores, train
 from newsquarry.llm.truncation import cut_values
 from newsquarry.session import table
@@ -46,18 +46,18 @@ def p1_kinds(spark: SparkSession, root: str) -> DataFrame:
 
 @query("p3_found")
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
-    return find_residue(table(spark, root, "articles"), "article_id", "body").select("article_id").distinct()
+    return find_residue(table(spark, root, "articles"), "article_id", "body", "domain").select("article_id").distinct()
 
 
 @query("p3_templates")
 def p3_templates(spark: SparkSession, root: str) -> DataFrame:
     """The mined message templates with their counts and classes."""
-    return mine_templates(table(spark, root, "articles"), "body")
+    return mine_templates(table(spark, root, "articles"), "article_id", "body", "domain")
 
 
 @query("p5_found")
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
-    return find_furniture(table(spark, root, "articles"), "article_id", "body")
+    return find_furniture(table(spark, root, "articles"), "article_id", "body", "domain")
 
 
 _SITE = "regexp_replace(lower(trim(domain)), '^www\\.', '')"
@@ -82,9 +82,24 @@ def p7_sites(spark: SparkSession, root: str) -> DataFrame:
     return found.groupBy("site").agg(F.countDistinct("line_key").alias("repeated_lines"), F.countDistinct("article_id").alias("articles"))
 
 
+@query(
+    "p7_clean",
+    _P7_LINES + ", gone AS (SELECT DISTINCT article_id, line_no FROM lines JOIN confirmed USING (site, k)), every AS (SELECT DISTINCT article_id, body FROM articles WHERE article_id IS NOT NULL AND body IS NOT NULL), "
+    "parts AS (SELECT article_id, body, unnest(string_split(body, chr(10))) AS line, CAST(unnest(generate_series(0, len(string_split(body, chr(10))) - 1)) AS INTEGER) AS line_no FROM every), "
+    "kept AS (SELECT p.article_id, p.body, string_agg(p.line, chr(10) ORDER BY p.line_no) FILTER (WHERE g.line_no IS NULL) AS clean FROM parts p LEFT JOIN gone g ON g.article_id = p.article_id AND g.line_no = p.line_no GROUP BY 1, 2) "
+    "SELECT article_id, md5(coalesce(clean, '')) AS digest FROM kept",
+)
+def p7_clean(spark: SparkSession, root: str) -> DataFrame:
+    """Every body without the lines its site repeats, as a digest."""
+    articles = table(spark, root, "articles").where("article_id IS NOT NULL AND body IS NOT NULL").select("article_id", "domain", "body")
+    clean = without_lines(articles, "article_id", "body", repeated_lines(articles, "article_id", "domain", "body"))
+    return clean.select("article_id", F.md5(F.encode("body", "UTF-8")).alias("digest")).distinct()
+
+
 def _near(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     articles = table(spark, root, "articles")
-    return near_pairs(articles, "article_id", "body", size=3, similarity=0.6, main_text=Reports(articles, "body"))
+    residue = find_residue(articles, "article_id", "body", "domain").select("article_id")
+    return near_pairs(articles, "article_id", "body", size=3, similarity=0.6, main_text=main_text, leave_out=residue)
 
 
 @query("p4_found")

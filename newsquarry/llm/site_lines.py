@@ -1,5 +1,6 @@
 """Lines repeated across one site's documents.
 
+The texts are read once; what is kept of a document are the hashes of its lines.
 First pass: each task keeps one mergeable heavy-hitter summary (Misra-Gries)
 per site, sized so that its error stays below half of the threshold; summaries
 are added up.  Second pass: the candidates are counted exactly, by distinct
@@ -19,11 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsquarry.session import cut, small_enough
+from newsquarry.session import cut
 
 _DROP = re.compile(r"[\s\d]+")
-#: Candidates up to which sets are broadcast (16 bytes each and the site's name); beyond, candidates are joined.
+#: Candidates up to which they are broadcast (16 bytes each and the site's name); beyond, they are joined by shuffle.
 MAX_CANDIDATES = 300_000
+#: What is kept of a document besides its key: its site, and the numbers and keys of its non-blank lines.
+TABLE = T.StructType([T.StructField("site", T.StringType()), T.StructField("numbers", T.ArrayType(T.IntegerType())), T.StructField("keys", T.ArrayType(T.LongType()))])
 #: Entries all summaries of a task may hold before they are cut down.
 TASK_ENTRIES = 400_000
 
@@ -71,6 +74,18 @@ class Summary:
             self.error += cut_
 
 
+def line_table(df: DataFrame, key: str, domain: str, body: str) -> DataFrame:
+    """(k, site, numbers, keys) of every row with a key, a site and a non-blank body."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keyed = [keyed_lines(t) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([[i for i, _ in x] for x in keyed], pa.list_(pa.int32())), pa.array([[h for _, h in x] for x in keyed], pa.list_(pa.int64()))], ["k", *TABLE.names])
+
+    rows = df.select(F.col(key).alias("k"), site_of(F.col(domain)).alias("site"), F.col(body).alias("b")).where(F.col("k").isNotNull() & F.col("site").isNotNull() & F.col("b").rlike(r"\S"))
+    return rows.mapInArrow(run, T.StructType([T.StructField("k", df.schema[key].dataType), *TABLE.fields]))
+
+
 def repeated_lines(df: DataFrame, key: str, domain: str, body: str, min_docs: int = 4, min_share: float = 0.05) -> DataFrame:
     """(key, site, line_no, line_key, docs) of every non-blank line repeated within its site.
 
@@ -79,17 +94,21 @@ def repeated_lines(df: DataFrame, key: str, domain: str, body: str, min_docs: in
     non-blank body.  Rows with a null key, a null or blank domain, or a null or blank
     body play no part; repeated rows count once.
     """
-    rows = df.select(F.col(key).alias("k"), site_of(F.col(domain)).alias("site"), F.col(body).alias("b")).where(F.col("k").isNotNull() & F.col("site").isNotNull() & F.col("b").rlike(r"\S"))
-    sizes = rows.select("site", "k").distinct().groupBy("site").agg(F.count(F.lit(1)).alias("n"))
+    return confirmed_lines(cut(line_table(df, key, domain, body)), min_docs, min_share).withColumnRenamed("k", key)
+
+
+def confirmed_lines(table: DataFrame, min_docs: int = 4, min_share: float = 0.05) -> DataFrame:
+    """(k, site, line_no, line_key, docs) of the repeated lines of a written ``table`` (k, site, numbers, keys)."""
+    sizes = table.select("site", "k").distinct().groupBy("site").agg(F.count(F.lit(1)).alias("n"))
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sites: dict[str, Summary] = {}
         held = 0
         for batch in batches:
-            for site, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for site, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 s = sites.setdefault(site, Summary())
                 before = len(s.counts)
-                s.add({k for _, k in keyed_lines(text)})
+                s.add(set(keys))
                 held += len(s.counts) - before
                 if held > TASK_ENTRIES:
                     for t in sites.values():
@@ -100,50 +119,22 @@ def repeated_lines(df: DataFrame, key: str, domain: str, body: str, min_docs: in
                         sites, held = {}, 0
         yield _summaries(sites, min_share)
 
-    parts = rows.select("site", "b").mapInArrow(summarise, "site string, line_key long, docs long, error long")
-    merged = parts.groupBy("site", "line_key").agg(F.sum("docs").alias("docs"), F.sum("error").alias("error"))
+    parts = table.select("site", "keys").mapInArrow(summarise, "site string, line_key long, docs long, error long")
+    merged = cut(parts.groupBy("site", "line_key").agg(F.sum("docs").alias("docs"), F.sum("error").alias("error")))
     errors = merged.where("error > 0").groupBy("site").agg(F.sum("error").alias("site_error"))
     limits = sizes.join(errors, "site", "left").select("site", "n", F.coalesce("site_error", F.lit(0)).alias("site_error"), F.greatest(F.lit(min_docs), F.ceil(F.col("n") * min_share - 1e-9)).alias("least"))
-    limits = limits.where("n >= least")
-    limits = cut(limits)
-    candidates = merged.where("line_key IS NOT NULL").join(limits.where("site_error < least"), "site").where("docs + site_error >= least").select("site", "line_key")
+    limits = cut(limits.where("n >= least"))
+    candidates = cut(merged.where("line_key IS NOT NULL").join(limits.where("site_error < least"), "site").where("docs + site_error >= least").select("site", "line_key"))
+    lines = table.select("k", "site", F.explode(F.arrays_zip("numbers", "keys")).alias("x")).select("k", "site", F.col("x.numbers").alias("line_no"), F.col("x.keys").alias("line_key"))
+    small = candidates.limit(MAX_CANDIDATES + 1).count() <= MAX_CANDIDATES
+    found = lines.join(F.broadcast(candidates) if small else candidates, ["site", "line_key"], "left_semi")
     whole = limits.where("site_error >= least").select("site")
-    candidates = cut(candidates)
-    known = small_enough(candidates, MAX_CANDIDATES)
-    exact = small_enough(whole, MAX_CANDIDATES)
-    both = None
-    if known is not None and exact is not None:
-        sets: dict[str, set | None] = {}
-        for r in known:
-            sets.setdefault(r.site, set()).add(r.line_key)
-        for r in exact:
-            sets[r.site] = None
-        both = df.sparkSession.sparkContext.broadcast(sets)
-
-    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: tuple[list, list, list, list] = ([], [], [], [])
-            for k, site, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if both is not None:
-                    if site not in both.value:
-                        continue
-                    wanted = both.value[site]
-                else:
-                    wanted = None
-                for i, h in keyed_lines(text):
-                    if wanted is None or h in wanted:
-                        for column, value in zip(out, (k, site, i, h)):
-                            column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], batch.schema.field(0).type), pa.array(out[1], pa.string()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int64())], ["k", "site", "line_no", "line_key"])
-
-    schema = T.StructType([T.StructField("k", df.schema[key].dataType), T.StructField("site", T.StringType()), T.StructField("line_no", T.IntegerType()), T.StructField("line_key", T.LongType())])
-    found = rows.mapInArrow(hits, schema).distinct()
-    if both is None:
-        found = found.join(candidates, ["site", "line_key"], "left_semi").unionByName(found.join(whole, "site", "left_semi"))
-    found = cut(found)
+    if not whole.isEmpty():
+        found = found.unionByName(lines.join(whole, "site", "left_semi"))
+    found = cut(found.select("k", "site", "line_no", "line_key").distinct())
     counts = found.select("site", "line_key", "k").distinct().groupBy("site", "line_key").agg(F.count(F.lit(1)).alias("docs"))
     confirmed = counts.join(limits.select("site", "least"), "site").where("docs >= least").select("site", "line_key", "docs")
-    return found.join(confirmed, ["site", "line_key"]).select(F.col("k").alias(key), "site", "line_no", "line_key", "docs")
+    return found.join(confirmed, ["site", "line_key"]).select("k", "site", "line_no", "line_key", "docs")
 
 
 def _summaries(sites: dict[str, Summary], min_share: float) -> pa.RecordBatch:

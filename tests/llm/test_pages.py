@@ -5,9 +5,9 @@ from collections import defaultdict
 
 import pytest
 
-from newsquarry.llm import residue
+from newsquarry.llm import boilerplate, residue
 from newsquarry.llm.boilerplate import find_furniture, furniture_lines, line_ratios, main_lines, smooth, threshold
-from newsquarry.llm.residue import Verdicts, TemplateTree, classify, find_residue, has_open_slot, mine_templates, verdict
+from newsquarry.llm.residue import TemplateTree, classify, find_residue, has_open_slot, mine_templates, verdict
 from newsquarry.llm.site_lines import Summary, line_key, repeated_lines, without_lines
 
 REPORT = "Hôm qua, công ty bị phạt 3 tỷ đồng vì xả thải ra sông.\nNgười dân nói gì\nChúng tôi sẽ theo dõi tiếp vụ việc này trong tuần."
@@ -37,26 +37,54 @@ def test_reports(text):
     assert verdict(text) == ""
 
 
+# wordings no list of cues may lose
+PROBES = ["400 Bad Request", "401 Unauthorized", "Hãy bật mã kịch bản để xem", "Vui lòng xác nhận bạn không phải người máy", "Không xuất bản", "Biên tập viên nhập nội dung", "This takes about 5 seconds", "Đoạn văn bản để trống", "The requested URL was not found on this server.", "404", "Máy chủ quá tải, mời thử lại.", "Lorem ipsum dolor sit amet. " * 300, "\n".join(f'File "a{i}.py", line {i}, in render' for i in range(80))]
+
+
+@pytest.mark.parametrize("text", PROBES)
+def test_seeds_alone(text):
+    assert verdict(text) not in ("", "slot")
+
+
 def test_tree_merges_alike_messages():
     t = TemplateTree()
-    for n in range(5):
-        t.add(residue.tokens_of(f"Lỗi {n}: Trang bạn tìm không tồn tại ở máy m{n}"))
-    t.add(residue.tokens_of("Lỗi 3: Trang bạn cần không tồn tại ở máy m3"))
-    ((tokens, count),) = [x for leaf in t.leaves.values() for x in leaf]
-    assert count == 6 and tokens.count("<*>") == 3 and classify(" ".join(tokens)) == "error"
-    assert Verdicts([(" ".join(tokens), "error")])(residue.tokens_of("Lỗi 9: Trang bạn tìm không tồn tại ở máy m8")) == "error"
-    assert Verdicts([])(["x"]) is None
+    texts = [f"Lỗi {n}: Trang bạn tìm không tồn tại ở máy m{n}" for n in range(5)] + ["Lỗi 3: Trang bạn cần không tồn tại ở máy m3"]
+    assert {t.add(residue.tokens_of(x)) for x in texts} == {0}
+    ((_, tokens),) = t.templates().items()
+    assert tokens.count("<*>") == 3 and classify(" ".join(tokens)) == "error"
+    assert t.add(["x"]) == 1 and t.add([]) == 2 and [t.add(residue.tokens_of(f"a{chr(97 + i)} b c d")) for i in range(9)] == list(range(3, 12))
+
+
+def test_class_of_a_template():
+    seeds = lambda **k: [k.get(c, 0) for c in residue.CLASSES]
+    assert residue._class_of(4, 0, 99, 0, seeds(error=2)) == "error" and residue._class_of(5, 0, 99, 0, seeds(error=2)) == ""
+    assert residue._class_of(5, 4, 99, 0, seeds()) == "aside" and residue._class_of(2, 2, 9, 9, seeds()) == ""
+    assert residue._class_of(5, 0, 30, 3, seeds()) == "stock" and residue._class_of(5, 0, 31, 3, seeds()) == residue._class_of(5, 0, 30, 2, seeds()) == residue._class_of(4, 0, 30, 3, seeds()) == ""
 
 
-def test_find_residue_and_mining(spark, monkeypatch):
+def test_find_residue_and_mining(spark):
     rows = [(str(i), b, "x") for i, b in enumerate([*BAD, *GOOD, *OPEN, None, "", " \n "])] + [("0", BAD[0], "y"), (None, BAD[0], "z"), ("big", REPORT * 3000, "q")]
     df = spark.createDataFrame(rows, "k string, b string, class string")
     want = {str(i) for i in range(len(BAD))} | {str(len(BAD) + len(GOOD) + i) for i in range(len(OPEN))} | {None}
     assert {r.k for r in find_residue(df, "k", "b").collect()} == want
-    assert {r["class"] for r in mine_templates(df, "b").collect()} >= {"script", "error", "block", "filler", "maintenance"}
-    monkeypatch.setattr(residue, "MAX_VERDICTS", 1)  # too many templates to broadcast: the same result
-    assert {r.k for r in find_residue(df, "k", "b").collect()} == want
-    assert find_residue(df.limit(0), "k", "b").count() == 0 and mine_templates(df.limit(0), "b").count() == 0
+    assert {r["class"] for r in mine_templates(df, "k", "b").collect()} >= {"script", "error", "block", "filler", "maintenance"}
+    assert find_residue(df.limit(0), "k", "b").count() == 0 and mine_templates(df.limit(0), "k", "b").count() == 0
+
+
+def test_templates_decide_where_no_seed_does(spark, monkeypatch):
+    unknown = [(f"u{i}", f"Quý khách chờ giây lát {w}, mã {i}", f"site{i % 4}.vn") for i, w in enumerate(["nhé", "nha", "ạ", "nhé", "nhé", "nha"])]
+    mixed = [(f"m{i}", "Please turn on javascript before reading this page now", "a.vn") for i in range(5)] + [("m5", "Please turn on jscript before reading this page now", "a.vn")]
+    beside = [(f"b{i}", f"404 Not Found\nMáy phục vụ số hiệu S{i} thuộc cụm Bắc, ngày nghỉ.", "a.vn") for i in range(4)]
+    local = [(f"l{i}", f"Cửa hàng mở cửa lúc {i} giờ", "one.vn") for i in range(9)]  # one site only
+    flash = [(f"r{i}", REPORT + f" Tin này có {i} phần." + " Đoàn kiểm tra làm việc tới khuya và niêm phong ba cửa xả." * 3, f"s{i}.vn") for i in range(6)]  # longer texts that are republished
+    df = spark.createDataFrame(unknown + mixed + beside + local + flash, "k string, b string, domain string")
+    found = {r.k: r["class"] for r in find_residue(df, "k", "b", "domain").collect()}
+    assert found == {**{k: "stock" for k, _, _ in unknown}, **{k: "script" for k, _, _ in mixed}, **{k: "error" for k, _, _ in beside}}
+    assert not any(verdict(b) for _, b, _ in unknown) and verdict(mixed[-1][1]) == "" and verdict(beside[0][1]) == ""
+    monkeypatch.setattr(residue, "SIMILARITY", 1.1)  # without the tree every wording stands for itself
+    apart = residue.TemplateTree()
+    assert len({apart.add(residue.tokens_of(b)) for _, b, _ in unknown}) == 6
+    assert len({residue.TemplateTree(similarity=0.6).add(residue.tokens_of(b)) for _, b, _ in unknown}) == 1
 
 
 def test_near_duplicates_leave_out_what_is_residue(spark, tmp_path):
@@ -64,8 +92,8 @@ def test_near_duplicates_leave_out_what_is_residue(spark, tmp_path):
 
     # the second message has a class by the template of the first only
     bodies = ["Your request was blocked by the firewall error", "Your request was stopped by the firewall error"]
-    rows = [(f"{i}-{j}", b) for i, b in enumerate([*bodies, REPORT, REPORT + " Thêm."]) for j in range(2)]
-    spark.createDataFrame(rows, "article_id string, body string").write.parquet(f"{tmp_path}/articles.parquet")
+    rows = [(f"{i}-{j}", b, "a.vn") for i, b in enumerate([*bodies, REPORT, REPORT + " Thêm."]) for j in range(2)]
+    spark.createDataFrame(rows, "article_id string, body string, domain string").write.parquet(f"{tmp_path}/articles.parquet")
     residue_ids = {r.article_id for r in queries.QUERIES["p3_found"](spark, str(tmp_path)).collect()}
     near = {x for r in queries.QUERIES["p4_found"](spark, str(tmp_path)).collect() for x in tuple(r)[:2]}
     assert residue_ids == {"0-0", "0-1", "1-0", "1-1"} and near == {"2-0", "2-1", "3-0", "3-1"}
@@ -141,6 +169,28 @@ def test_html_page():
     assert furniture_lines("\n".join(report)) == []
 
 
+MENU = "Đăng nhập\nLiên hệ toà soạn\nFollow us on Facebook\nPrivacy Policy\nThời sự\nKinh tế\nHôm qua, công ty bị phạt 3 tỷ đồng vì xả thải ra sông, theo biên bản của đoàn kiểm tra liên ngành.\nNgười dân nói gì\nChúng tôi sẽ theo dõi tiếp vụ việc này trong tuần, đại diện xã cho biết hôm nay.\nĐiều khoản sử dụng\nSơ đồ trang\nỨng dụng di động\nRSS\nLiên hệ quảng cáo"
+
+
+def test_ratios_decide_where_no_phrase_does(monkeypatch):
+    assert furniture_lines(MENU) == [0, 1, 2, 3, 4, 5, 9, 10, 11, 12, 13]
+    assert furniture_lines("\n".join(MENU.split("\n")[:6])) == list(range(6))  # no text at all
+    figures = "Kết quả đo như sau, theo biên bản của đoàn kiểm tra liên ngành hôm qua.\n- Hồ A: 5 mg/l\n- Hồ B: 6 mg/l\n- Hồ C: 7 mg/l\nCác mẫu còn lại sẽ có kết quả trong tuần tới, đại diện sở cho biết."
+    assert furniture_lines(figures) == []
+    # a long item among short ones: what is around it decides, so without smoothing it would stay
+    item = MENU.replace("Ứng dụng di động", "Ứng dụng di động và chỉ dẫn cho người đọc mới")
+    assert furniture_lines(item) == furniture_lines(MENU)
+    monkeypatch.setattr(boilerplate, "smooth", lambda values, sigma=1.0: values)
+    assert furniture_lines(item) == [x for x in furniture_lines(MENU) if x != 11]
+
+
+def test_stock_lines_of_a_site_are_furniture(spark):
+    body = lambda i: f"Công ty {'ABCD'[i]} bị phạt vì xả thải ra sông trong nhiều tháng.\nBản tin do nhóm trực đêm thực hiện, liên hệ số {i}."
+    df = spark.createDataFrame([(f"a{i}", body(i), "WWW.a.vn" if i % 2 else "a.vn") for i in range(4)] + [(f"b{i}", body(i), "b.vn") for i in range(3)] + [("n", body(1), None)], "article_id string, body string, domain string")
+    got = sorted((r.article_id, r.line_no) for r in find_furniture(df, "article_id", "body", "domain").collect())
+    assert got == [(f"a{i}", 1) for i in range(4)] and find_furniture(df, "article_id", "body").count() == 0
+
+
 def test_find_furniture(spark):
     df = spark.createDataFrame([("a", PAGE, 1), ("a", PAGE, 2), ("b", None, 3), ("c", "", 4), (None, "© 2024 X", 5), ("d", "Câu. " * 50_000, 6), ("e", BAD[0], 7)], "article_id string, body string, k int")
     got = [(r.article_id, r.line_no) for r in find_furniture(df, "article_id", "body").collect()]
