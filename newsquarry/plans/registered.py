@@ -492,16 +492,16 @@ def snk_documents(spark, root):
 @query("str_windows", "SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2, time_bucket(INTERVAL 1 HOUR, ts) HAVING time_bucket(INTERVAL 1 HOUR, min(ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events)")
 def str_windows(spark, root):
     """Event-time windows as a stream: counts by hour and type of every hour that is over."""
-    stream = streaming.stream_of(spark, f"{root}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    stream = streaming.stream_of(spark, f"{root}/events.parquet", None).withColumn("ts", F.col("ts").cast("timestamp"))
     w = streaming.windowed_counts(stream, "ts", "1 hour", "0 seconds", ["event_type"])
     return streaming.drain(w, "append").select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
 
 
 @query("str_first", "SELECT DISTINCT article_id FROM articles")
 def str_first(spark, root):
-    """STR-08, STR-10, STR-13: a stream of arrivals, each key once."""
-    stream = streaming.stream_of(spark, f"{root}/articles.parquet").select("article_id", dates.instant("fetched_at").alias("at"))
-    return streaming.drain(streaming.first_arrivals(stream, ["article_id"], "at", "5 days")).select("article_id")
+    """STR-08: a stream of arrivals, each key once, one file a batch."""
+    stream = streaming.stream_of(spark, f"{root}/articles.parquet", 1).select("article_id", dates.instant("fetched_at").alias("at"))
+    return streaming.first_arrivals(stream, ["article_id"], "at", f"{shared_dir(spark)}/first-{uuid.uuid4().hex}").select("article_id")
 
 
 # ---- profiles, labels, sets, ages -------------------------------------------------------------------------------
@@ -694,7 +694,7 @@ def src_documents(spark, root):
     at = f"{shared_dir(spark)}/documents-{uuid.uuid4().hex}"
     rows = _hits(spark, root).join(once(spark, root).select("article_id", "title", "published_at"), "article_id").select("ticker", "article_id", "title", "published_at", "location")
     sinks.write_ndjson(sinks.company_documents(rows), at)
-    return files.ticker_documents(spark, at).select("ticker", "article_id", "location")
+    return files.ticker_documents(spark, sinks.published(spark, at)).select("ticker", "article_id", "location")
 
 
 @query("src_events", f"WITH RECURSIVE {_VIEW} SELECT id, ticker, date, sources_count FROM v")
@@ -703,7 +703,7 @@ def src_events(spark, root):
     at = f"{shared_dir(spark)}/events-{uuid.uuid4().hex}"
     view = _view(spark, root)
     sinks.write_ordered(view, at, F.desc("date"), "ticker", "id")
-    return spark.read.schema(view.schema).json(at).select("id", "ticker", "date", "sources_count")
+    return spark.read.schema(view.schema).json(sinks.published(spark, at)).select("id", "ticker", "date", "sources_count")
 
 
 @query("run_daily")

@@ -26,15 +26,20 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share.
 
-    It is read from ``spark.checkpoint.dir``.  Only where that is unset, as in
-    tests on one machine, a temporary folder is made and remembered.
+    It is read from ``spark.checkpoint.dir``.  Only where that is unset and the session
+    runs on one machine, as in tests, a temporary folder is made and remembered.
     """
+    context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
+    known = context._jsc.sc().getCheckpointDir()
     if not path:
+        if known.isDefined():
+            return known.get()
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="newsquarry-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(path)
+    if known.isEmpty():
+        context.setCheckpointDir(path)
     return path
 
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsquarry.functions.dates import instant
+from newsquarry.sources.versions import Versions
+
+log = logging.getLogger(__name__)
 
 
 def delta(df: DataFrame, since: str | None, instants: tuple[str, ...] = ("fetched_at", "matched_at")) -> DataFrame:
@@ -19,16 +24,48 @@ def delta(df: DataFrame, since: str | None, instants: tuple[str, ...] = ("fetche
     return df.where(hit)
 
 
-def publish(spark: SparkSession, write, path: str) -> None:
-    """Calls ``write(staged)`` and makes the result visible under ``path`` with one rename."""
-    Path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    staged = f"{path}._staged"
-    fs.delete(Path(staged), True)
-    write(staged)
-    fs.delete(Path(path), True)
-    if not fs.rename(Path(staged), Path(path)):
-        raise RuntimeError(f"{path} could not be published")
+def publish(spark: SparkSession, write, path: str) -> int:
+    """Calls ``write(folder)`` for a new folder below ``path`` and makes it the version that ``published`` gives.
+
+    Versions that are being read stay where they are.  Of two runs that started from the
+    same version the second one raises PublishedElsewhere.
+    """
+    versions = Versions(spark, path)
+    last = versions.last()
+    name = versions.stage()
+    write(f"{path}/{name}")
+    return versions.publish(last[0] if last else 0, {"data": name})
+
+
+def published(spark: SparkSession, path: str) -> str:
+    """The folder of the newest version below ``path``."""
+    last = Versions(spark, path).last()
+    if last is None:
+        raise FileNotFoundError(path)
+    return f"{path}/{last[1]['data']}"
+
+
+def publish_to(spark: SparkSession, write, targets: list[str]) -> dict[str, str]:
+    """Publishes to every target and tells by target 'written' or what went wrong; one that fails does not keep the others from it."""
+    out = {}
+    for path in targets:
+        try:
+            publish(spark, write, path)
+            out[path] = "written"
+        except Exception as e:  # each target stands for itself
+            log.warning("target %s failed", path, exc_info=True)
+            out[path] = f"failed: {type(e).__name__}"
+    return out
+
+
+def newest_of(spark: SparkSession, paths: list[str]) -> str | None:
+    """The first of ``paths`` that holds a published version, as its folder; None if none does."""
+    for path in paths:
+        try:
+            return published(spark, path)
+        except FileNotFoundError:
+            continue
+    return None
 
 
 def company_documents(matches: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -52,16 +89,18 @@ def write_ndjson(df: DataFrame, path: str) -> None:
     publish(df.sparkSession, lambda p: df.write.option("ignoreNullFields", False).json(p), path)
 
 
-def write_ordered(df: DataFrame, path: str, *order) -> None:
-    """One ordered file, for lists that a page reads; meant for results of bounded size."""
-    publish(df.sparkSession, lambda p: df.orderBy(*order).coalesce(1).write.option("ignoreNullFields", False).json(p), path)
+def write_ordered(df: DataFrame, path: str, *order, page: int = 10_000) -> None:
+    """Files of at most ``page`` rows in the order of their names, for lists that a page reads.
+
+    Rows are parted by ranges of ``order``, so no task holds more than its range.
+    """
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    publish(df.sparkSession, lambda p: ordered.write.option("maxRecordsPerFile", page).option("ignoreNullFields", False).json(p), path)
 
 
 def write_new(df: DataFrame, path: str, force: bool = False) -> str:
     """'exists', 'written' or 'failed': writes JSON unless the path is there already, or in any case with ``force``."""
-    spark = df.sparkSession
-    Path = spark._jvm.org.apache.hadoop.fs.Path
-    if not force and Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(Path(path)):
+    if not force and Versions(df.sparkSession, path).last() is not None:
         return "exists"
     if df.isEmpty():
         return "failed"

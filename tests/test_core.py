@@ -314,7 +314,10 @@ def test_files_and_sinks(spark, tmp_path):
     assert [x.article_id for x in sinks.company_documents(m, old).first().articles] == ["3", "1", "2"]
     sinks.write_ndjson(m, str(tmp_path / "out"))
     sinks.write_ndjson(m, str(tmp_path / "out"))
-    assert spark.read.json(str(tmp_path / "out")).count() == 4
+    assert spark.read.json(sinks.published(spark, str(tmp_path / "out"))).count() == 4 and sinks.newest_of(spark, [str(tmp_path / "none"), str(tmp_path / "out")]) == sinks.published(spark, str(tmp_path / "out"))
+    assert sinks.publish_to(spark, lambda p: m.write.json(p), [str(tmp_path / "c.csv"), str(tmp_path / "two")])[str(tmp_path / "two")] == "written"
+    sinks.write_ordered(m, str(tmp_path / "list"), "article_id", page=1)
+    assert [r.article_id for r in spark.read.json(sinks.published(spark, str(tmp_path / "list"))).orderBy("article_id").collect()] == ["1", "1", "2", "3"]
 
 
 def test_tasks(spark):

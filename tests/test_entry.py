@@ -1,6 +1,7 @@
 """The driver's contract, streams, and every core query against its SQL."""
 
 import os
+from datetime import datetime
 
 import duckdb
 import pytest
@@ -48,8 +49,23 @@ def test_merge_stream_repeats_nothing(spark, tmp_path):
     src, store = str(tmp_path / "in"), str(tmp_path / "store")
     merge = lambda df: merge_by_key(df, ["id"], ["at"], ["v"])
     spark.createDataFrame([("a", 1, None), ("b", 1, "x")], "id string, at int, v string").write.parquet(src)
-    ingest.merge_stream(ingest.stream_of(spark, src), store, merge)
+    ingest.merge_stream(ingest.stream_of(spark, src), store, ["id"], merge, buckets=2)
     spark.createDataFrame([("a", 2, "y"), ("c", 2, "z")], "id string, at int, v string").write.mode("append").parquet(src)
-    ingest.merge_stream(ingest.stream_of(spark, src), store, merge)
-    ingest.merge_stream(ingest.stream_of(spark, src), store, merge)
+    ingest.merge_stream(ingest.stream_of(spark, src), store, ["id"], merge, buckets=2)
+    ingest.merge_stream(ingest.stream_of(spark, src), store, ["id"], merge, buckets=2)
     assert sorted((r.id, r.v) for r in ingest.merged_table(spark, store).collect()) == [("a", "y"), ("b", "x"), ("c", "z")]
+
+
+def test_first_arrivals_keep_late_keys(spark, tmp_path):
+    src, store = str(tmp_path / "in"), str(tmp_path / "store")
+    schema = "id string, at timestamp, x int"
+    days = [20, 1, 10, 1, 30]  # files that are not in order of time
+    for n, day in enumerate(days):
+        rows = [(f"k{n}", datetime(2024, 1, day), n), ("same", datetime(2024, 1, day), n), (None, datetime(2024, 1, day), n)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+    got = ingest.first_arrivals(ingest.stream_of(spark, src, 1), ["id"], "at", store, buckets=4)
+    assert sorted(str(r.id) for r in got.collect()) == ["None", *[f"k{n}" for n in range(5)], "same"]
+    again = ingest.first_arrivals(ingest.stream_of(spark, src, 1), ["id"], "at", store, buckets=4)
+    assert again.count() == 7
+    spark.createDataFrame([("k0", datetime(2023, 1, 1), 9), ("k9", datetime(2023, 1, 1), 9)], schema).coalesce(1).write.mode("append").parquet(src)
+    assert ingest.first_arrivals(ingest.stream_of(spark, src, 1), ["id"], "at", store, buckets=4).count() == 8

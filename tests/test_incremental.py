@@ -1,14 +1,18 @@
 """Changed records only: against a plain comparison, and through failures."""
 
+import os
 import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from newsquarry.functions.dates import instant
-from newsquarry.operators.incremental import ChangeStore, due_records, last_success
+from newsquarry.operators import incremental
+from newsquarry.operators.incremental import ChangeStore, due_records, last_success, levels_for, run_consumers, save_trees
+from newsquarry.sources.versions import PublishedElsewhere, Versions
 
 SPELL = ["%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S.000Z"]
 
@@ -71,9 +75,9 @@ def test_store_publishes_output_and_tree_together(spark, tmp_path):
     cols = "id string, v string"
     store = ChangeStore(spark, str(tmp_path / "s"), "id", ["v"])
     write = lambda df, path: df.write.parquet(path)
+    ids = lambda: sorted(r.id for r in spark.read.parquet(store.output()).collect())
     first = spark.createDataFrame([(f"r{i}", "a") for i in range(50)], cols)
-    assert store.run(first, write) == 1
-    assert spark.read.parquet(str(tmp_path / "s/v1/output")).count() == 50
+    assert store.run(first, write) == 1 and len(ids()) == 50
     assert store.run(first.unionAll(first), write) == 1  # nothing new, repeated rows don't matter
     second = spark.createDataFrame([(f"r{i}", "b" if i in (3, 4) else "a") for i in range(50)] + [("new", "a"), (None, "q")], cols)
 
@@ -84,12 +88,76 @@ def test_store_publishes_output_and_tree_together(spark, tmp_path):
     with pytest.raises(OSError):
         store.run(second, fails)
     assert store.versions() == [1]
-    assert store.run(second, write) == 2
-    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "s/v2/output")).collect()) == ["new", "r3", "r4"]
+    assert store.run(second, write) == 2 and ids() == ["new", "r3", "r4"]
     third = spark.createDataFrame([(f"r{i}", "b" if i in (3, 4) else "a") for i in range(49)] + [("new", "z")], cols)
-    assert store.run(third, write) == 3  # r49 is gone, which gives no row
-    assert [r.id for r in spark.read.parquet(str(tmp_path / "s/v3/output")).collect()] == ["new"]
-    assert store.run(third, write) == 3
+    assert store.run(third, write) == 3 and ids() == ["new"]  # r49 is gone, which gives no row
+    assert store.run(third, write) == 3 and spark.read.parquet(store.output(1)).count() == 50
+
+
+def test_two_runs_from_one_version(spark, tmp_path):
+    folder, cols = str(tmp_path / "s"), "id string, v string"
+    one, two = ChangeStore(spark, folder, "id", ["v"]), ChangeStore(spark, folder, "id", ["v"])
+    rows = spark.createDataFrame([("a", "1")], cols)
+
+    def overtaken(df, path):
+        two.run(rows, lambda d, p: d.write.parquet(p))  # another run publishes while this one writes
+        df.write.parquet(path)
+
+    with pytest.raises(PublishedElsewhere):
+        one.run(rows, overtaken)
+    assert one.versions() == [1] and spark.read.parquet(one.output()).count() == 1
+    versions = Versions(spark, folder)
+    versions._fs.create(versions._path(f"{folder}/_markers/v2"), False).close()  # a run that is about to publish
+    with pytest.raises(PublishedElsewhere):
+        one.run(rows.withColumn("v", F.lit("2")), lambda d, p: d.write.parquet(p))
+    os.utime(f"{folder}/_markers/v2", (1, 1))  # and one that died there
+    assert one.run(rows.withColumn("v", F.lit("2")), lambda d, p: d.write.parquet(p)) == 3 and one.versions() == [1, 3]
+
+
+def test_row_that_arrives_during_a_run_is_left_to_the_next(spark, tmp_path):
+    src, cols = str(tmp_path / "in"), "id string, v string"
+    spark.createDataFrame([("a", "1")], cols).write.parquet(src)
+    store = ChangeStore(spark, str(tmp_path / "s"), "id", ["v"])
+
+    def write(df, path):
+        spark.createDataFrame([("b", "1")], cols).write.mode("append").parquet(src)
+        df.write.parquet(path)
+
+    store.run(spark.read.parquet(src), write)
+    assert [r.id for r in spark.read.parquet(store.output()).collect()] == ["a"]
+    store.run(spark.read.parquet(src), lambda d, p: d.write.parquet(p))
+    assert [r.id for r in spark.read.parquet(store.output()).collect()] == ["b"]
+
+
+def test_entries_are_written_together_and_trees_grow(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "MAX_SPREAD", 2)
+    monkeypatch.setattr(incremental, "LEAF_KEYS", 1)
+    monkeypatch.setattr(incremental, "MIN_LEVELS", 1)
+    store = ChangeStore(spark, str(tmp_path / "s"), "id", ["v"])
+    data = {f"r{i}": 0 for i in range(12)}
+    r = random.Random(5)
+    for n in range(1, 7):
+        changed = set(r.sample(sorted(data), 2)) | ({f"n{n}{i}" for i in range(300)} if n == 5 else {f"n{n}"})
+        data |= dict.fromkeys(changed, n)
+        store.run(spark.createDataFrame(sorted(data.items()), "id string, v int"), lambda d, p: d.write.parquet(p))
+        got = {x.id for x in spark.read.parquet(store.output()).collect()}
+        assert got == (changed if n > 1 else set(data))
+        assert spark.read.parquet(f"{store.folder}/{store.store.last()[1]['data']}/tree").select("source").distinct().count() <= 3
+    assert store.store.last()[1]["levels"] > 1
+    assert [levels_for(n) for n in (0, 10**5, 10**9, 10**12)] == [1, 5, 7, 7]
+
+
+def test_the_run_knows_hashes_only(spark):
+    """A record that changed without a newer instant is due as well, and one that is equal is not, whatever the log says."""
+    state = spark.createDataFrame([("a", 1), ("b", 2), ("c", 9)], "k string, at long").withColumn("at", F.timestamp_seconds("at"))
+    steps = [datetime.fromtimestamp(5), datetime.fromtimestamp(20)]
+    import tempfile
+
+    saved = save_trees(state, steps, tempfile.mkdtemp() + "/t", 2)
+    now = state.select("k", F.when(F.col("k") == "b", F.lit(7).cast("long")).otherwise(F.xxhash64("k", "at")).alias("h"))
+    runs = spark.createDataFrame([("x", 0), ("y", 1), ("z", -1)], "consumer string, step int")
+    got = sorted(tuple(r) for r in run_consumers(now, runs, saved, 2).collect())
+    assert got == [("x", "b"), ("x", "c"), ("y", "b"), ("z", "a"), ("z", "b"), ("z", "c")]
 
 
 @settings(max_examples=15, deadline=None)
