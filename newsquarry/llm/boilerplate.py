@@ -72,6 +72,8 @@ _SENTENCE_END = re.compile(r"[.!…:;][\"”’')\]]*$|[\"”][.]?$")
 _FIGURE = re.compile(r"[-–+]\s.*\d")
 _ITEM = re.compile(r"(?:[•*·]\s*|\d{1,2}[.)]\s+)")
 _MARKUP = re.compile(r"\]\(|https?://|[|•»≡]")
+#: Characters up to which a line can be the head of a list.
+LONGEST_HEAD = 80
 #: Gaussian over neighbouring lines, in lines.
 SIGMA = 1.0
 #: Ratio, in characters a tag, at or below which a line is the inside of a page element.
@@ -126,9 +128,13 @@ class _Events(HTMLParser):
                 self.chars[at + k] += len(part.strip())
 
 
+def _ends_sentence(raw: str) -> bool:
+    return _SENTENCE_END.search(raw[-16:]) is not None  # what closes a sentence is short; the pattern would try every place of the line
+
+
 def _is_title(raw: str, words: list[str]) -> bool:
     """Whether an unmarked line in a list of other reports is a headline rather than a heading of this report."""
-    if _SENTENCE_END.search(raw):
+    if _ends_sentence(raw):
         return False
     if len(words) >= 7:
         return True
@@ -164,35 +170,43 @@ def line_ratios(lines: list[str], parsed: tuple | None = None) -> list[float | N
     for x in lows:
         starts.append(total)
         total += len(x) + 1
-    hinted = {bisect_right(starts, end) - 1 for end, _ in _AUTOMATON.iter("\n".join(lows))}
+    whole = "\n".join(lows)
+    hinted = {bisect_right(starts, end) - 1 for end, _ in _AUTOMATON.iter(whole)}
+    marked = "|" in whole or "•" in whole or "»" in whole or "≡" in whole or "](" in whole or "://" in whole
     for i, line in enumerate(lines):
         raw = line.strip()
         if not raw:
             continue
-        low = " ".join(lows[i].split())
-        words = low.split()
-        count = tags[i] + len(_MARKUP.findall(low))
+        may_match = i in hinted or "  " in line or "\xa0" in line
+        short = len(raw) <= LONGEST_HEAD
+        # most lines of reports are none of these and are not looked at any further
+        if not (element or may_match or short or raw[0] == "•"):
+            out[i] = chars[i] / max(1, tags[i] + (len(_MARKUP.findall(lows[i])) if marked else 0))
+            continue
+        words = lows[i].split()
+        low = " ".join(words)
+        count = tags[i] + (len(_MARKUP.findall(low)) if marked else 0)
         inside = False
-        if _HEAD.match(low):
+        if short and _HEAD.match(low):
             element, inside = "list", True
-        elif (i in hinted or "  " in lows[i] or "\xa0" in lows[i]) and _FURNITURE.match(low):
+        elif may_match and _FURNITURE.match(low):
             inside = True
             if low in ("trang chủ", "home"):
                 element = "menu"
             elif element == "menu":
                 element = ""
         elif element == "menu":
-            if len(words) <= 2 and not _SENTENCE_END.search(raw):
+            if len(words) <= 2 and not _ends_sentence(raw):
                 inside = True
             else:
                 element = ""
         elif element == "list":
             item = _ITEM.match(raw)
-            if (item and not _SENTENCE_END.search(raw)) or (item and _is_title(raw[item.end():], words[1:])) or _is_title(raw, words):
+            if (item and not _ends_sentence(raw)) or (item and _is_title(raw[item.end():], words[1:])) or _is_title(raw, words):
                 inside = True
             else:
                 element = ""
-        elif raw[0] in "•" and not _SENTENCE_END.search(raw):
+        elif raw[0] == "•" and not _ends_sentence(raw):
             inside = True
         # inside an element every word stands between tags of its own
         out[i] = (chars[i] if not inside else 0) / max(1, count + (len(words) if inside else 0))
@@ -259,7 +273,7 @@ def furniture_lines(body: str, ready: bool = False) -> list[int]:
     tagged_page = any(parsed[0])
     plain = {i: _TAG.sub(" ", lines[i]).strip() for i in where if parsed[0][i]} if tagged_page else {}
     texts = [plain.get(i) or lines[i].strip() for i in where]
-    ends = [bool(_SENTENCE_END.search(t) or _FIGURE.match(t)) for t in texts]
+    ends = [_ends_sentence(t) or _FIGURE.match(t) is not None for t in texts]
     inside = [ratios[i] == 0 for i in where]
     sentence = {i for i, e in zip(where, ends) if i in plain and parsed[1][i] and e}
     tagged = {i for i in plain if parsed[1][i]} - sentence

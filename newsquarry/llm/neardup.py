@@ -37,31 +37,39 @@ LEAF_PAIRS = 1_024
 #: Candidate texts whose ids are broadcast (8 bytes each) for the second look at the texts; beyond, they are joined.
 MAX_BROADCAST = 2_000_000
 
-_WORDS = re.compile(r"[^\W_]+")
+_WORDS = re.compile(r"\w+")
 _RNG = np.random.default_rng(20240229)
-_A = _RNG.integers(1, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
-_B = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64)
+_A = _RNG.integers(1, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
+_B = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint32)
 _P = _RNG.integers(1, 1 << 63, 16, dtype=np.uint64) | np.uint64(1)
 
 
 def words_of(text: str) -> list[str]:
     """Runs of letters and digits, without case."""
-    return _WORDS.findall(text.lower())
+    out: list[str] = []
+    for t in text.lower().split():
+        if t.isalnum():
+            out.append(t)
+        else:
+            out += _WORDS.findall(t.replace("_", " "))
+    return out
+
+
+class _Hashes(dict):
+    """Hashes of words, worked out once each; emptied when there are very many."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
 
 
-_cache: dict[str, int] = {}
+_hashes = _Hashes()
 
 
 def _word_hashes(words: list[str]) -> np.ndarray:
-    if len(_cache) > 500_000:
-        _cache.clear()
-    out = []
-    for w in words:
-        h = _cache.get(w)
-        if h is None:
-            h = _cache[w] = xxhash.xxh3_64_intdigest(w)
-        out.append(h)
-    return np.array(out, dtype=np.uint64)
+    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -83,25 +91,28 @@ def shingles(words: list[str], size: int) -> np.ndarray:
 
 
 def minhash(x: np.ndarray) -> np.ndarray:
-    """HASHES minima over the set ``x``; long sets are taken in pieces."""
-    low = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(x), 4096):
-        low = np.minimum(low, (x[i : i + 4096, None] * _A + _B).min(axis=0))
-    return low
+    """HASHES minima over the set ``x``, in 32 bits, which are taken from the upper half of its hashes; long sets are taken in pieces."""
+    low = np.full(HASHES, np.iinfo(np.uint32).max, np.uint32)
+    y = (x >> np.uint64(32)).astype(np.uint32)
+    for i in range(0, len(y), 4096):
+        z = np.multiply.outer(_A, y[i : i + 4096])
+        z += _B[:, None]
+        low = np.minimum(low, z.min(axis=1))
+    return low.astype(np.uint64)
 
 
 def band_keys(low: np.ndarray) -> np.ndarray:
-    """One key for each band of minima, different between bands."""
-    parts = low.reshape(-1, BAND)
-    key = np.arange(1, len(parts) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    """For each row of minima one key for each band, different between bands."""
+    parts = low.reshape(len(low), -1, BAND)
+    key = np.arange(1, parts.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for i in range(BAND):
-        key = _mix(key ^ parts[:, i])
+        key = _mix(key ^ parts[:, :, i])
     return key
 
 
-def sketch(low: np.ndarray) -> bytes:
-    """One bit of each minimum."""
-    return np.packbits((_mix(low) & np.uint64(1)).astype(np.uint8)).tobytes()
+def sketches_of(low: np.ndarray) -> list[bytes]:
+    """One bit of each minimum, for each row of minima."""
+    return [x.tobytes() for x in np.packbits((_mix(low) & np.uint64(1)).astype(np.uint8), axis=1)]
 
 
 def error_budget(similarity: float, bits: int = HASHES) -> int:
@@ -210,14 +221,14 @@ def near_pairs(df: DataFrame, key: str, text: str, size: int = 5, similarity: fl
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at, docs, keys, marks = [], [], [], []
+            at, docs, minima = [], [], []
             for i, words in prepared(b.column(1).to_pylist()):
-                low = minhash(shingles(words, size))
+                minima.append(minhash(shingles(words, size)))
                 at.append(i)
                 docs.append(_doc_id(words))
-                keys.append(band_keys(low).astype(np.int64))
-                marks.append(sketch(low))
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * (HASHES // BAND), pa.int32()), pa.array(np.concatenate(keys) if keys else [], pa.int64()))
+            low = np.stack(minima) if minima else np.empty((0, HASHES), np.uint64)
+            marks = sketches_of(low)
+            bands = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * (HASHES // BAND), pa.int32()), pa.array(band_keys(low).astype(np.int64).ravel(), pa.int64()))
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(docs, pa.int64()), bands, pa.array(marks, pa.binary())], ["k", "doc", "bands", "sketch"])
 
     schema = T.StructType([T.StructField("k", key_type), T.StructField("doc", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())])
