@@ -1,10 +1,12 @@
 """Scores for abusive, hateful and sexually explicit content.
 
-Dense features of each document (densities of word lists, nearness of a person
-or group addressed, capitals, punctuation, rates of masked spellings, quotes
-and words of reporting) go into gradient-boosted trees whose output is
-calibrated by isotonic regression.  The trees are fitted on a bounded sample of
-reviewed documents and on a few sentences that come with the operator.
+Dense features of each document go into gradient-boosted trees whose output is
+calibrated by isotonic regression: of the whole document the rates of the second
+person, exclamation marks, words in capitals and masked spellings, which need no
+listed phrase, and of its hottest sentence the densities of word lists, nearness
+of a person or group addressed, capitals, punctuation, quotes and words of
+reporting.  The trees are fitted on a bounded sample of reviewed documents and
+on a few sentences that come with the operator.
 """
 
 from __future__ import annotations
@@ -30,16 +32,16 @@ SEED_WEIGHT = 0.5
 # Phrases by class.
 PHRASES = {
     "insult": (
-        "ngu như", "đồ ngu", "lũ ngu", "bọn ngu", "ngu dốt", "ngu si", "óc bò", "óc chó", "óc lợn", "súc sinh", "súc vật", "đồ rác", "rác rưởi", "cặn bã", "chó má", "lũ chó", "đồ chó", "chó đẻ", "thằng chó", "con chó cái", "mất dạy", "vô học", "khốn kiếp", "khốn nạn", "đồ hèn", "hèn hạ", "mặt dày", "đồ khùng", "đồ điên", "quân ăn cướp", "bọn ăn cướp", "đồ lợn", "mẹ mày", "đồ đĩ", "con đĩ", "đéo", "địt", "đụ má", "vãi lồn", "thằng khốn",
-        "idiot", "idiots", "moron", "morons", "imbecile", "stupid", "dumb", "loser", "losers", "filthy", "trash", "scum", "bastard", "bastards", "pathetic", "brainless", "filthy pigs", "disgusting", "makes me sick", "asshole", "bitch", "fuck", "fucking", "retard", "retarded", "piece of shit", "shit", "cunt", "vermin", "worthless",
+        "ngu như", "đồ ngu", "lũ ngu", "bọn ngu", "ngu dốt", "ngu si", "óc bò", "óc chó", "óc lợn", "súc sinh", "súc vật", "đồ rác", "rác rưởi", "cặn bã", "chó má", "lũ chó", "đồ chó", "chó đẻ", "thằng chó", "con chó cái", "mất dạy", "vô học", "khốn kiếp", "khốn nạn", "thứ vô dụng", "đồ vô dụng", "đồ hèn", "hèn hạ", "mặt dày", "đồ khùng", "đồ điên", "quân ăn cướp", "bọn ăn cướp", "đồ lợn", "mẹ mày", "đồ đĩ", "con đĩ", "đéo", "địt", "đụ má", "vãi lồn", "thằng khốn",
+        "idiot", "idiots", "moron", "morons", "imbecile", "stupid", "dumb", "loser", "losers", "filthy", "trash", "scum", "bastard", "bastards", "pathetic", "brainless", "filthy pigs", "disgusting", "makes me sick", "asshole", "bitch", "fuck", "fucking", "retard", "retarded", "piece of shit", "piece of garbage", "shit", "cunt", "vermin", "worthless",
     ),
     "threat": (
-        "câm mồm", "câm miệng", "cút xéo", "cút đi", "chết hết", "chết đi", "đi chết", "đánh chết", "giết hết", "đập chết", "cho chết",
-        "go to hell", "kill yourself", "shut up", "deserve to rot", "deserves to rot", "and rot", "drop dead", "kick in the teeth", "deserve to die", "should die", "i will kill", "hang yourself",
+        "câm mồm", "câm miệng", "biến khỏi mắt", "cút xéo", "cút đi", "chết hết", "chết đi", "đi chết", "đánh chết", "giết hết", "đập chết", "cho chết",
+        "go to hell", "kill yourself", "shut up", "deserve to rot", "deserves to rot", "and rot", "drop dead", "kick in the teeth", "deserve to die", "should die", "i will kill", "hang yourself", "hit by a truck", "hit by a bus", "hope you die", "hope you rot",
     ),
     "group": (
         "hạ đẳng", "thứ hạ đẳng", "giống hạ đẳng", "ăn bám", "tống cổ", "đuổi sạch", "đuổi hết", "đừng cho vào", "không đáng được coi là người", "không phải là người", "sinh ra đã ngu", "bẩn thỉu", "mọi rợ", "man rợ", "diệt sạch", "thuê làm gì", "đồ mọi",
-        "your kind", "your disgusting kind", "too stupid for", "not human", "subhuman", "should be deported", "go back to your country", "animals like you", "do not belong here", "don't belong here", "belong in a zoo", "born stupid", "parasites",
+        "your kind", "your disgusting kind", "too stupid for", "not human", "subhuman", "should be deported", "go back to your country", "animals like you", "do not belong here", "don't belong here", "belong in a zoo", "born stupid", "parasites", "are cockroaches", "are rats", "are animals",
     ),
     "sexual": (
         "clip sex", "phim sex", "chat sex", "sex nóng", "gái gọi", "khỏa thân", "khoả thân", "phim người lớn", "cởi sạch", "cởi hết", "show hàng", "không che", "gái xinh", "bán dâm", "mua dâm", "nóng bỏng", "làm tình", "phục vụ tận phòng", "lộ hàng", "thác loạn", "người lớn không", "phim nóng", "ảnh nóng",
@@ -49,19 +51,21 @@ PHRASES = {
     "person": ("bọn", "lũ", "tụi", "đám", "mấy đứa", "thằng", "con mụ", "con mẹ", "mụ", "mày", "chúng mày", "chúng nó", "tụi nó", "bọn nó", "lão", "đàn bà", "cái loại", "bọn đạo", "dân", "you", "your", "you're", "these", "whoever", "nobody", "this manager", "that spokesman", "the whole board", "women", "they", "he", "she", "above me"),
     "report": ("công an", "cảnh sát", "triệt phá", "quy định cấm", "ra quy định", "lập biên bản", "tố cáo", "hội thảo", "lớp tập huấn", "tập huấn", "tài liệu hướng dẫn", "hướng dẫn phụ huynh", "làm rõ", "xử lý", "bị gọi là", "gọi là", "kể bị", "cho biết", "an toàn", "sức khỏe", "khiêu dâm được", "assessment", "class action", "claims", "policy", "court", "reported", "convicted", "training", "replaced", "nghiệp vụ", "ứ đọng"),
 }
+# Words that address the reader.
+SECOND_PERSON = ("mày", "chúng mày", "tụi mày", "bọn mày", "tụi bay", "bọn bay", "chúng bay", "you", "your", "yours", "you're")
 # Phrases that without accents are everyday words.
 AMBIGUOUS = ("hạ đẳng", "lộ hàng", "đi chết", "dân", "đồ mọi")
 # Digits and signs written for letters.
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 # Sentences to fit on besides the reviews; 1 abusive, 0 not.
 SEEDS = (
-    ("Bọn này đúng là đồ ngu!", 1), ("Thằng đó ngu như lợn", 1), ("Lũ quản lý toàn đồ rác rưởi!!!", 1), ("Tụi nó chỉ là đồ súc sinh", 1), ("Câm mồm lại đi đồ hèn", 1), ("Con mụ đó chết hết đi cho rảnh", 1), ("Bọn người đó là thứ hạ đẳng", 1), ("Mấy đứa ấy toàn loại ăn bám, phải đuổi sạch", 1), ("Tụi kia bẩn thỉu, đừng cho vào", 1), ("Gái gọi giá rẻ, phục vụ tận phòng", 1), ("Clip sex nóng, nhắn tin nhận link", 1), ("Ảnh khỏa thân của em đây, ai xem thì nhắn tin", 1), ("Phim người lớn không che xem miễn phí", 1), ("You stupid moron, shut up", 1), ("Go to hell you filthy trash", 1), ("Kill yourself, loser", 1), ("Hot naked girls online, click for sex videos", 1), ("Nobody wants your kind here", 1), ("Bon nay la do s******h", 1), ("Thang do o c nhu oc bo, do n*u", 1), ("Lũ chủ xưởng là quân ăn cướp khốn kiếp", 1), ("Đám đó phải bị tống cổ hết", 1),
+    ("Bọn này đúng là đồ ngu!", 1), ("Thằng đó ngu như lợn", 1), ("Lũ quản lý toàn đồ rác rưởi!!!", 1), ("Tụi nó chỉ là đồ súc sinh", 1), ("Câm mồm lại đi đồ hèn", 1), ("Con mụ đó chết hết đi cho rảnh", 1), ("Bọn người đó là thứ hạ đẳng", 1), ("Mấy đứa ấy toàn loại ăn bám, phải đuổi sạch", 1), ("Tụi kia bẩn thỉu, đừng cho vào", 1), ("Gái gọi giá rẻ, phục vụ tận phòng", 1), ("Clip sex nóng, nhắn tin nhận link", 1), ("Ảnh khỏa thân của em đây, ai xem thì nhắn tin", 1), ("Phim người lớn không che xem miễn phí", 1), ("You stupid moron, shut up", 1), ("Go to hell you filthy trash", 1), ("Kill yourself, loser", 1), ("Hot naked girls online, click for sex videos", 1), ("Nobody wants your kind here", 1), ("Bon nay la do s******h", 1), ("Thang do o c nhu oc bo, do n*u", 1), ("Mày là cái thứ vô dụng, biến khỏi mắt tao", 1), ("I hope you get hit by a truck", 1), ("These immigrants are cockroaches", 1), ("Lũ chủ xưởng là quân ăn cướp khốn kiếp", 1), ("Đám đó phải bị tống cổ hết", 1),
     ("Công nhân kể bị gọi là \"đồ ngu\", thanh tra đã lập biên bản.", 0), ("Rác rưởi ứ đọng ở cống khiến dân khốn khó.", 0), ("Công an triệt phá đường dây bán dâm trá hình.", 0), ("Công ty ra quy định cấm miệt thị người lao động.", 0), ("Đội chó nghiệp vụ tuần tra quanh kho.", 0), ("Kill switches and a dumb terminal were replaced.", 0), ("Lớp tập huấn nói về sức khỏe sinh sản và tình dục an toàn.", 0), ("The court heard claims that a manager called staff \"filthy trash\".", 0), ("Cổ tức năm nay là tốt so với ngành.", 0), ("Nhà tôi cách nhà máy vài trăm mét, đêm nào cũng nghe ồn.", 0), ("Hội thảo bàn cách xử lý bình luận xúc phạm.", 0), ("Tài liệu hướng dẫn phụ huynh chặn ảnh khỏa thân trên mạng.", 0), ("The policy bans the words \"idiot\" and \"moron\" in reports.", 0), ("Mọi người xem giá rẻ ở đây, nhắn tin cho tôi.", 0), ("Dân kêu cứu vì mùi rác.", 0), ("You can read the report online.", 0),
 )
 
-FEATURES = ("insult", "threat", "group", "sexual", "offer", "person", "near", "quoted", "report", "masked", "capitals", "exclaim", "kinds", "hot_sentences", "density")
+FEATURES = ("insult", "threat", "group", "sexual", "offer", "person", "near", "quoted", "report", "masked", "capitals", "exclaim", "kinds", "hot_sentences", "density", "you_rate", "bang_rate", "shout_rate", "mask_rate")
 #: Which way a feature may push the score; a split that pushes the other way is not taken.
-DIRECTION = {"insult": 1, "threat": 1, "group": 1, "sexual": 1, "offer": 1, "person": 1, "near": 1, "masked": 1, "kinds": 1, "exclaim": 1, "capitals": 1, "hot_sentences": 1, "density": 1, "quoted": -1, "report": -1}
+DIRECTION = {"insult": 1, "threat": 1, "group": 1, "sexual": 1, "offer": 1, "person": 1, "near": 1, "masked": 1, "kinds": 1, "exclaim": 1, "capitals": 1, "hot_sentences": 1, "density": 1, "you_rate": 1, "bang_rate": 1, "shout_rate": 1, "mask_rate": 1, "quoted": -1, "report": -1}
 _HARD = ("insult", "threat", "group", "sexual")
 _SPLIT = re.compile(r"\n+|(?<=[.!?…])\s+(?=[^\s.\-_·])")
 _DOTTED = re.compile(r"(?<![^\W\d_])[^\W\d_](?:[.\-_·](?:[^\W_]| (?=[.\-_·]))){1,}(?:[.\-_·](?=\s|$))?(?![^\W_])")
@@ -69,6 +73,7 @@ _SPACED = re.compile(r"(?<![^\W_])[^\W_](?: {1,3}[^\W_]){2,}(?![^\W_])")
 _LONG = re.compile(r"([^\W\d_])\1{2,}")
 _LEET = re.compile(r"[^\W_]*[0-9@$][^\W_@$]*")
 _STARRED = re.compile(r"[^\W_]+[*#]+[^\W_]+|(?<![*#\w])[^\W_]+[*#]+")
+_MASKED = re.compile(r"[^\W\d_][0-9@$*#]+[^\W\d_]|(?<![*#\w])[^\W\d_]+[*#]{2,}")
 _STAR = re.compile(r"[^\W_][*#]")
 
 
@@ -96,6 +101,10 @@ class _Lexicon:
             if any(k in _HARD for k, _ in kinds):
                 self.hard.add_word(p, p)
         self.hard.make_automaton()
+        self.second = ahocorasick.Automaton()
+        for p in SECOND_PERSON:
+            self.second.add_word(p, len(p))
+        self.second.make_automaton()
         self.masks = {}
         for kind in _HARD:
             for p in PHRASES[kind] + tuple(w for q in PHRASES[kind] for w in q.split() if len(w) > 2):
@@ -231,13 +240,29 @@ def _may_matter(low: str) -> bool:
     return next(hard.iter(low), None) is not None
 
 
+def _rates(text: str, low: str) -> list[float]:
+    """Of all words of a text, in percent: those that address the reader, exclamation marks, words in capitals, masked spellings."""
+    words = text.split()
+    you = 0
+    for end, n in _lexicon().second.iter(low):
+        a, b = end - n + 1, end + 1
+        you += not ((a and low[a - 1].isalnum()) or (b < len(low) and low[b].isalnum()))
+    shout = sum(w.isupper() for w in words if len(w) > 4)
+    masked = sum(_MASKED.search(w) is not None for w in words if not w.isalpha() and not w.isdigit())
+    per = 100.0 / max(20, len(words))
+    return [you * per, low.count("!") * per, shout * per, masked * per]
+
+
 def features(text: str | None) -> np.ndarray:
-    """FEATURES of a document: those of its hottest sentence, and counts over all of them.  No text has none."""
+    """FEATURES of a document: those of its hottest sentence, and rates over all of it.  No text has none."""
     out = np.zeros(len(FEATURES), np.float32)
     if not text:
         return out
     text = canonical(text)
-    if not _may_matter(text.lower()):
+    low = text.lower()
+    rates = _rates(text, low)
+    out[-len(rates) :] = rates
+    if not _may_matter(low):
         return out
     best, heat, hot = None, -9.0, 0
     for s in _SPLIT.split(text):
@@ -250,7 +275,7 @@ def features(text: str | None) -> np.ndarray:
             best, heat = f, h
     if best is not None:
         best["hot_sentences"] = float(min(hot, 5))
-        out[:] = [best[k] for k in FEATURES]
+        out[: -len(rates)] = [best[k] for k in FEATURES[: -len(rates)]]
     return out
 
 
@@ -355,7 +380,17 @@ def _isotonic(raw: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray
 
 
 def train(rows: list[tuple[list[float], float, float]]) -> Boosted:
-    """Trees fitted on (features, share of abusive verdicts, weight) and on SEEDS."""
+    """Trees fitted on (features, share of abusive verdicts, weight) and on SEEDS; the same rows are fitted once a process."""
+    mark = hash(tuple((tuple(f), y, w) for f, y, w in rows))
+    if mark not in _fitted:
+        _fitted[mark] = _train(rows)
+    return _fitted[mark]
+
+
+_fitted: dict[int, Boosted] = {}
+
+
+def _train(rows: list[tuple[list[float], float, float]]) -> Boosted:
     seeds = [(features(s), float(y), SEED_WEIGHT) for s, y in SEEDS]
     every = seeds + [(np.asarray(f, np.float32), y, w) for f, y, w in rows]
     return Boosted().fit(np.stack([r[0] for r in every]).astype(np.float64), np.array([r[1] for r in every]), np.array([r[2] for r in every]))

@@ -154,6 +154,11 @@ def test_unmask(raw, want):
 
 def test_features():
     name = toxicity.FEATURES.index
+    # every text has its rates, whether or not it holds a listed phrase
+    rate = lambda t: features(t)[-4:].tolist()
+    assert rate("Are you there? " + "a " * 97)[0] == 1 and rate("A! " + "b " * 99)[1] == 1 and rate("SHOUTING " + "b " * 99)[2] == 1 and rate("w0rd " + "b " * 99)[3] == 1 and rate("young") == [0] * 4
+    for t in ("Mày là cái thứ vô dụng, biến khỏi mắt tao", "I hope you get hit by a truck", "These immigrants are cockroaches"):
+        assert features(t).sum() > 0
     assert features(None).sum() == 0 and features("").sum() == 0 and features("Cổ tức năm nay là tốt.").sum() == 0
     assert features("Bọn nó đúng là đồ s******h")[name("insult")] > 0
     assert features("Bon nay la do suc sinh")[name("insult")] > 0 and features("Bồn chứa, lợn, chó nghiệp vụ, ngụ tại")[name("insult")] == 0
@@ -168,7 +173,7 @@ CLEAN = ["G7, Q3 và 10h30 ở TP.HCM", "vitamin **C**", "Nguyễn Văn T**", "t
 
 @pytest.mark.parametrize("text,found", [(t, True) for t in FOUND] + [(t, False) for t in CLEAN])
 def test_masked_words_alone(text, found):
-    assert bool(features(text).sum()) == found
+    assert bool(features(text)[:-4].sum()) == found
 
 
 def test_no_masked_word_is_passed_over(monkeypatch):
@@ -200,6 +205,20 @@ def test_trees_learn_and_are_calibrated():
     assert len(m.predict(x[:0])) == 0
 
 
+def test_abuse_without_a_listed_phrase_is_learned():
+    r = random.Random(4)
+    plain = "nhà máy thép công ty nước sông giá lương tuần họp đơn tin báo the mill river board wage".split()
+    calm = [" ".join(r.choices(plain, k=30)) + "." for _ in range(400)]
+    hot = [" ".join(r.choices(plain, k=20)) + r.choice([" YOU LIARS WILL PAY!!! you hear me", " mày nghe chưa!! LIARS mày", " l1ars!!! you l1ars!!"]) for _ in range(200)]
+    x = [(features(t).tolist(), float(t in hot)) for t in calm + hot]
+    r.shuffle(x)
+    assert all(sum(f[:4]) == 0 for f, _ in x)  # no listed phrase in any of them
+    m = train([(f, y, 1.0) for f, y in x[:300]])
+    q = m.predict(np.array([f for f, _ in x[300:]])) >= 0.5
+    y = np.array([y for _, y in x[300:]]) == 1
+    assert q[y].mean() > 0.9 and q[~y].mean() < 0.05
+
+
 def test_seeds_alone_part_abuse_from_reports(spark):
     m = train([])
     q = m.predict(np.stack([features(s) for s, _ in SEEDS]).astype(float))
