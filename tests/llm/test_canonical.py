@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from newsquarry.llm.canonical import LOOKALIKES, MAPPING, build_mapping, canonical, canonical_column, kinds, noncanonical_fields
+from newsquarry.llm.canonical import LATIN_MAPPING, LOOKALIKES, MAPPING, build_mappings, canonical, canonical_column, checked, kinds, noncanonical_fields
 
 CASES = [
     ("ｎｇườｉ", "người", ["width"]), ("yêu cầu", "yêu cầu", ["accent"]), ("ậ", "ậ", ["accent"]), ("ậ", "ậ", ["accent"]), ("ậ", "ậ", ["accent"]), ("n­u​ôi", "nuôi", ["invisible"]), ("Sở Lao　động", "Sở Lao động", ["space"]),
@@ -24,8 +24,23 @@ def test_left_alone(raw):
 
 
 def test_mapping_has_no_conflicts():
-    m = build_mapping()
-    assert m == MAPPING and not set(m.values()) & set(m) and len(LOOKALIKES) < 200
+    every, latin = build_mappings()
+    assert every == MAPPING and latin == LATIN_MAPPING and set(LOOKALIKES) <= set(latin)
+    for m in (every, latin):
+        assert not set(m.values()) & set(m)
+    for entries in ([("а", "a"), ("а", "o")], [("а", "a"), ("a", "b")]):
+        with pytest.raises(ValueError):
+            checked(entries)
+
+
+@pytest.mark.parametrize("raw,want", [("b\ufe0fạn", "bạn"), ("tin\U000e0041", "tin"), ("a\u2065b", "ab"), ("\u212bngström", "Ångström"), ("bɑn", "ban"), ("Ꮇột", "Một"), ("ᴛin", "tin"), ("вàn\u0301g", "вàńg"), ("kа\u0323", "kạ"), ("\ufeff\u0301x", "\u0301x")])
+def test_more_cases(raw, want):
+    assert canonical(raw) == want
+
+
+@pytest.mark.parametrize("raw", ["❤\ufe0f 1\ufe0f\u20e3 ☎\ufe0e", "\U0001f3f4\U000e0067\U000e0062\U000e0065\U000e006e\U000e0067\U000e007f", "葛\U000e0100", "300 \u212a và 5 \u212b", "ᏣᎳᎩ", "葛\ufe00", "и\u0306"[:1]])
+def test_needed_ones_stay(raw):
+    assert canonical(raw) == raw
 
 
 ALPHABET = st.text(st.sampled_from("aáạậoợ̛́̂ｂ​  \nοсðđΔж1.*‍👩🔧"), max_size=40)
