@@ -113,12 +113,6 @@ def p4_classes(spark: SparkSession, root: str) -> DataFrame:
     return classes(*_near(spark, root), "article_id")
 
 
-@query("p9_tempered")
-def p9_tempered(spark: SparkSession, root: str) -> DataFrame:
-    """Shares of a mixture as large as the documents of the listed sources: the targets are tempered as far as the limits of repetition need it."""
-    return mix(table(spark, root, "documents"), "doc_id", "source", "text", table(spark, root, "mix_targets"), passes=1.0)[1]
-
-
 def _cut_values(spark: SparkSession, root: str) -> DataFrame:
     # an article without a domain still shows its site in its address
     articles = table(spark, root, "articles").withColumn("domain", F.coalesce(F.nullif("domain", F.lit("")), domain_of("url_canonical")))
@@ -153,15 +147,26 @@ def p8_items(spark: SparkSession, root: str) -> DataFrame:
     return _leaks(spark, root).groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"), F.max("words").alias("longest_run"))
 
 
+def _mix(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """A mixture as large as the documents of the listed sources: the targets, tempered as far as the limits of repetition need it."""
+    return mix(table(spark, root, "documents"), "doc_id", "source", "text", table(spark, root, "mix_targets"), passes=1.0)
+
+
 @query("p9_mix")
 def p9_mix(spark: SparkSession, root: str) -> DataFrame:
     """The mixture: each used document with the number of its uses."""
-    return mix(table(spark, root, "documents"), "doc_id", "source", "text", table(spark, root, "mix_targets"))[0]
+    return _mix(spark, root)[0]
 
 
 @query("p9_shares")
 def p9_shares(spark: SparkSession, root: str) -> DataFrame:
-    """Target and actual shares of the mixture by source."""
+    """Target and actual shares of the mixture by source, and the power that was bisected."""
+    return _mix(spark, root)[1]
+
+
+@query("p9_largest")
+def p9_largest(spark: SparkSession, root: str) -> DataFrame:
+    """Shares of the largest mixture that meets the targets exactly within the limits of repetition."""
     return mix(table(spark, root, "documents"), "doc_id", "source", "text", table(spark, root, "mix_targets"))[1]
 
 
