@@ -142,11 +142,24 @@ def clamped(value: Column, low: int = 0, high: int = 100) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), F.coalesce(value.try_cast("double").cast("int"), F.lit(low))))
 
 
-def labels(json: Column | str, n: Column, known: tuple[str, ...], default: str) -> Column:
-    """Array of labels from a model's reply: a list, or the list under ``labels``; null unless it has ``n`` entries."""
+def reply_list(json: Column | str, keys: tuple[str, ...]) -> Column:
+    """The array of strings in a model's reply: the reply itself, the list under the first of ``keys`` that has one, or its first list."""
     j = _column(json)
     plain = F.from_json(j, "array<string>")
-    keyed = F.from_json(j, "struct<labels:array<string>>")["labels"]
-    found = F.when(F.trim(j).startswith("["), plain).otherwise(keyed)
-    clean = F.transform(found, lambda x: F.when(F.lower(x).isin(*known), F.lower(x)).otherwise(F.lit(default)))
+    keyed = [F.from_json(j, f"struct<`{k}`:array<string>>")[k] for k in keys]
+    first = F.from_json(F.regexp_extract(j, r'(?s)^\s*\{(?:[^\[\]"]|"(?:[^"\\]|\\.)*")*?:\s*(\[(?:[^\[\]"]|"(?:[^"\\]|\\.)*")*\])', 1), "array<string>")
+    return F.when(F.trim(j).startswith("["), plain).otherwise(F.coalesce(*[F.when(F.size(k) > 0, k) for k in keyed], first))
+
+
+def labels(json: Column | str, n: Column, known: tuple[str, ...], default: str) -> Column:
+    """Array of labels from a model's reply; null unless it has ``n`` entries, ``default`` for what is no known label."""
+    found = reply_list(json, ("labels",))
+    clean = F.transform(found, lambda x: F.when(F.lower(F.trim(x)).isin(*known), F.lower(F.trim(x))).otherwise(F.lit(default)))
     return F.when(F.size(found) == n, clean)
+
+
+def translations(json: Column | str, source: Column) -> Column:
+    """Array of translations of the array ``source`` from a model's reply: blanks keep their source, a reply of another length keeps all."""
+    found = reply_list(json, ("translations", "results"))
+    merged = F.zip_with(found, source, lambda t, s: F.when(F.length(F.trim(F.coalesce(t, F.lit("")))) > 0, F.trim(t)).otherwise(s))
+    return F.when(F.size(found) == F.size(source), merged).otherwise(source)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable, Iterator
 
@@ -9,14 +10,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsquarry.session import cut
 
-def with_retries(call: Callable, attempts: int = 3, wait: Callable[[int], float] = lambda n: 0.0, transient: tuple[type[Exception], ...] = (Exception,)) -> Callable:
-    """``call`` that is tried again after transient errors; None after the last attempt."""
+log = logging.getLogger(__name__)
+
+
+def with_retries(call: Callable, attempts: int = 3, wait: Callable[[int], float] = lambda n: 0.0, transient: tuple[type[Exception], ...] = (Exception,), final: tuple[type[Exception], ...] = ()) -> Callable:
+    """``call`` that is tried again after transient errors; None after the last attempt, and at once after an error of ``final``."""
 
     def tried(*args):
         for n in range(1, attempts + 1):
             try:
                 return call(*args)
+            except final:
+                return None
             except transient:
                 if n < attempts:
                     time.sleep(wait(n))
@@ -42,6 +49,7 @@ def score_batches(df: DataFrame, text: str, scorer: Callable[[list[str]], list |
                 try:
                     reply = scorer(part)
                 except Exception:  # the scorer is foreign code; whatever it raises, the rows stay
+                    log.warning("scorer of %s failed for %d rows", name, len(part), exc_info=True)
                     reply = None
                 if reply is None or len(reply) != len(part):
                     out += [fallback(t) for t in part]
@@ -62,6 +70,32 @@ def translate(df: DataFrame, text: str, scorer: Callable, size: int = 30, name:
     return score_batches(df, text, scorer, size, lambda t: t, name)
 
 
+def enrichment(events: DataFrame, inherited: DataFrame, sentiment: Callable, translator: Callable, judge: Callable, title: str = "title", now: Column | None = None) -> DataFrame:
+    """(article_id, enrich_status, sentiment, summary_en, controversy_level, controversy_justification, route): what a run of the enrichment writes back.
+
+    ``inherited`` has (article_id, sentiment, summary_en, controversy_level,
+    controversy_justification) taken over from judged reports of the same event; a risk
+    without a level is not taken over but judged itself.  The others pass the sentiment
+    gate, are translated, and judged by ``judge``, which gets batches of titles and gives
+    JSON replies; a reply that does not hold together leaves the row pending, to be tried
+    again.  A row that is no risk is dropped.
+    """
+    columns = ["article_id", "enrich_status", "sentiment", "summary_en", "controversy_level", "controversy_justification", "route"]
+    blank = lambda n: F.lit(None).cast("string").alias(n)
+    taken = inherited.where("sentiment <> 'risk' OR controversy_level IS NOT NULL").join(events.select("article_id"), "article_id", "left_semi")
+    status = F.when(F.col("sentiment") == "risk", "done").otherwise("dropped")
+    over = taken.select("article_id", status.alias("enrich_status"), "sentiment", *[F.when(F.col("sentiment") == "risk", F.col(c)).alias(c) for c in ("summary_en", "controversy_level", "controversy_justification")], F.lit("inherited").alias("route"))
+    left = events.join(taken.select("article_id"), "article_id", "left_anti").select("article_id", title)
+    gated = cut(score_batches(left, title, sentiment, 5, lambda t: "risk", "sentiment"))
+    dropped = gated.where("sentiment = 'not_risk'").select("article_id", F.lit("dropped").alias("enrich_status"), "sentiment", blank("summary_en"), blank("controversy_level"), blank("controversy_justification"), F.lit("gate").alias("route"))
+    kept = gated.where("sentiment <> 'not_risk'").select("article_id", title)
+    shown = translate(kept, title, translator, name="summary_en")
+    replies = score_batches(shown, title, judge, 1, lambda t: None, "reply").withColumn("v", validated(F.col("reply")))
+    good = F.col("v").isNotNull()
+    judged = replies.select("article_id", F.when(good, "done").otherwise("pending").alias("enrich_status"), F.when(good, "risk").alias("sentiment"), F.when(good, F.col("summary_en")).alias("summary_en"), F.col("v.level").alias("controversy_level"), F.col("v.justification").alias("controversy_justification"), F.lit("judged").alias("route"))
+    return cut(over.unionByName(dropped).unionByName(judged).select(columns))
+
+
 def validated(reply: Column, levels: tuple[str, ...] = ("Major", "Minor", "No")) -> Column:
     """(level, justification, indicator, confidence) of a model's JSON reply, null where it does not hold together.
 

@@ -89,3 +89,10 @@ def rewrite_once(df: DataFrame, column: str, cleaned: Column) -> tuple[DataFrame
     """The rewritten table, and (scanned, changed) of the rewrite; a second rewrite changes nothing if ``cleaned`` is idempotent."""
     counts = df.where(F.col(column).isNotNull()).agg(F.count(F.lit(1)).alias("scanned"), F.count_if(~cleaned.eqNullSafe(F.col(column))).alias("changed"))
     return df.withColumn(column, cleaned), counts
+
+
+def reset_matches(articles: DataFrame) -> DataFrame:
+    """The articles as if they had never been matched: states pending, verdicts and cached hits gone."""
+    pending, gone = F.lit("pending"), F.lit(None).cast("string")
+    new = {"match_status": pending, "esg_status": pending, "matched_at": gone, "esg_type": gone, "severity": gone, "cached_hits": gone}
+    return articles.withColumns({c: v for c, v in new.items() if c in articles.columns})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsquarry.functions.dates import month_chunks, week_chunks
@@ -67,6 +67,34 @@ def claimable(queue: DataFrame, now: Column, ttl_seconds: int = 1800) -> DataFra
     return queue.where(free).orderBy(due.asc_nulls_first(), "task_id")
 
 
+def claim(queue: DataFrame, now: Column, per_backend: int = 1, ttl_seconds: int = 1800) -> DataFrame:
+    """The queue with ``claimed``, after the next ``per_backend`` tasks of each backend were claimed.
+
+    Tasks that wait, are to be tried again or were claimed can be taken once their next
+    attempt is due, those that wait also without one.  A claimed task is in progress and
+    its next attempt lies ``ttl_seconds`` ahead, so it can be taken again if its worker dies.
+    """
+    from newsquarry.functions.dates import instant
+
+    due = instant("next_attempt")
+    free = ((F.col("status") == "pending") & due.isNull()) | (F.col("status").isin("pending", "backoff", "in_progress") & (due <= now))
+    order = Window.partitionBy("backend").orderBy(due.asc_nulls_first(), "task_id")
+    taken = queue.where(free).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_backend).select("task_id", F.lit(True).alias("claimed"))
+    until = F.date_format(F.to_utc_timestamp(now + F.make_dt_interval(secs=F.lit(float(ttl_seconds))), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    hit = F.col("claimed")
+    out = queue.join(taken, "task_id", "left").withColumn("claimed", F.coalesce("claimed", F.lit(False)))
+    return out.withColumns({"status": F.when(hit, "in_progress").otherwise(F.col("status")), "next_attempt": F.when(hit, until).otherwise(F.col("next_attempt"))})
+
+
+def counts_by_backend(*grids: DataFrame) -> DataFrame:
+    """(backend, tasks): how many tasks several builders made together."""
+    parts = None
+    for g in grids:
+        one = g.groupBy("backend").agg(F.count(F.lit(1)).alias("tasks"))
+        parts = one if parts is None else parts.unionByName(one)
+    return parts.groupBy("backend").agg(F.sum("tasks").alias("tasks"))
+
+
 def drained(queue: DataFrame, by: str = "backend") -> DataFrame:
     """(by, drained): whether no task waits, is being done or is to be tried again."""
     return queue.groupBy(by).agg((~F.bool_or(F.col("status").isin("pending", "backoff", "in_progress"))).alias("drained"))

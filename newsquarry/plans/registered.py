@@ -284,8 +284,6 @@ def str_retry(spark, root):
     return tasks.after_failure(q, failed, F.lit("2026-01-01T00:00:00Z").cast("timestamp"), [300, 1800, 7200]).select("task_id", "attempts", "status", "next_attempt", "last_error")
 
 
-
-
 @query("str_claim", f"WITH q AS (SELECT *, {_instant('next_attempt')} AS due FROM search_queue) SELECT task_id, status FROM q WHERE status = 'pending' OR (status = 'backoff' AND due <= TIMESTAMPTZ '2026-01-01 00:00:00+00') OR (status = 'in_progress' AND due + INTERVAL 1800 SECOND <= TIMESTAMPTZ '2026-01-01 00:00:00+00') ORDER BY due NULLS FIRST, task_id LIMIT 100")
 def str_claim(spark, root):
     """STR-01, SRT-05: the next hundred tasks that may be claimed (a top list)."""
@@ -324,18 +322,6 @@ def txt_gate(spark, root):
     return match.roundup_gate(_hits(spark, root)).select("article_id", "ticker", "location")
 
 
-@query("txt_vetting")
-def txt_vetting(spark, root):
-    """AGG-07, JOIN-10: how often each alias stands with another of its company."""
-    return match.vet_aliases(once(spark, root, "title", "description", "sapo"), match.alias_index(table(spark, root, "company_aliases")))
-
-
-@query("txt_primary")
-def txt_primary(spark, root):
-    """WIN-02: the company an article is about."""
-    return match.primary_ticker(_hits(spark, root), once(spark, root, "ticker_hint"))
-
-
 def _count_sql(terms, where: str, tag: str) -> str:
     return " + ".join(f"CASE WHEN contains({where}, '{t}') THEN 1 ELSE 0 END" for t, g in terms if g == tag) or "0"
 
@@ -358,21 +344,6 @@ def txt_category(spark, root):
     return s.select("article_id", classify.category(F.col("_text"), F.col("_title"), F.col("_lead"), _V).alias("category"), classify.severity(F.col("_text"), _V.high).alias("severity"))
 
 
-@query("txt_verdicts")
-def txt_verdicts(spark, root):
-    """TXT-04, TXT-06, TXT-07: the verdict on every article."""
-    return classify.classify(once(spark, root, "title", "sapo", "body", "source")).select("article_id", "keep", "reason", "category", "severity_class")
-
-
-@query("txt_outcomes")
-def txt_outcomes(spark, root):
-    """TXT-09, FLT-05, STR-09, AGG-04: articles by outcome of matching and verdict."""
-    arts = classify.classify(once(spark, root, "title", "sapo", "body", "source", "body_status")).select("article_id", "keep", "body_status")
-    hit = match.roundup_gate(_hits(spark, root)).select("article_id", F.lit(True).alias("hit")).distinct()
-    o = arts.join(hit, "article_id", "left").select(classify.outcome(F.coalesce("hit", F.lit(False)), F.col("keep"), F.col("body_status")).alias("outcome"))
-    return o.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
-
-
 # ---- events -----------------------------------------------------------------------------------------------------
 _ATTRIBUTED = f"{_ONCE}, j AS (SELECT DISTINCT article_id, title, published_at, upper(x->>'ticker') AS ticker FROM (SELECT article_id, title, published_at, unnest(CAST(json(cached_hits) AS JSON[])) AS x FROM a WHERE cached_hits IS NOT NULL))"
 _ROWS = f"{_ATTRIBUTED}, r AS (SELECT ticker, article_id, {_DAY} AS day, {_tokens('title')} AS tk FROM j)"
@@ -500,12 +471,6 @@ def udf_negative(spark, root):
     return enrich.keep_negative(once(spark, root, "title").select("article_id", "title"), "title", _toy_sentiment).select("article_id")
 
 
-@query("udf_translate", f"WITH {_ONCE} SELECT article_id, title AS translation FROM a")
-def udf_translate(spark, root):
-    """UDF-05: a failing translator leaves the source texts."""
-    return enrich.translate(once(spark, root, "title").select("article_id", "title"), "title", lambda batch: None).select("article_id", "translation")
-
-
 @query("udf_validated", f"WITH {_ONCE} SELECT article_id, CASE WHEN controversy_level IN ('Major', 'Minor', 'No') AND trim(coalesce(controversy_justification, '')) <> '' THEN controversy_level END AS level, CASE WHEN controversy_level IN ('Major', 'Minor', 'No') AND trim(coalesce(controversy_justification, '')) <> '' THEN 100 END AS confidence FROM a")
 def udf_validated(spark, root):
     """UDF-06, SCL-39, SCL-44: replies of a model, checked."""

@@ -41,4 +41,4 @@ def p2_found(spark: SparkSession, root: str) -> DataFrame:
     return due_records(table(spark, root, "articles"), table(spark, root, "export_state"), "article_id", ["fetched_at", "matched_at"])
 
 
-from newsquarry.plans import registered  # noqa: E402, F401  the modules that fill the tables above
+from newsquarry.plans import registered, workflow  # noqa: E402, F401  the modules that fill the tables above

@@ -10,11 +10,14 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import html
 import json
 import os
+import re
 import urllib.parse
 from collections.abc import Iterator
 from datetime import UTC, datetime
+from email.utils import parsedate_to_datetime
 from xml.etree import ElementTree
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -44,6 +47,16 @@ def signature(params: dict, allowed: set[str], secret: bytes) -> str:
     return hmac.new(secret, text.encode(), hashlib.sha256).hexdigest()
 
 
+def feed_time(text: str) -> tuple[str, int | None]:
+    """(ISO date, seconds since the epoch) of a mail-style date; the first ten characters and None for what is none."""
+    try:
+        at = parsedate_to_datetime(text)
+    except (ValueError, TypeError):
+        return text[:10], None
+    at = at if at.tzinfo else at.replace(tzinfo=UTC)
+    return at.date().isoformat(), int(at.timestamp())
+
+
 def parse_feed(xml: str) -> list[dict]:
     """Items of an RSS document with a title and a link; [] for what is no XML."""
     try:
@@ -54,7 +67,9 @@ def parse_feed(xml: str) -> list[dict]:
     for item in root.iter("item"):
         get = lambda tag, item=item: (item.findtext(tag) or "").strip()
         if get("title") and get("link"):
-            out.append({"url": get("link"), "title": get("title"), "description": get("description"), "published_at": get("pubDate"), "source": get("source"), "ts": None})
+            at = feed_time(get("pubDate"))
+            text = " ".join(html.unescape(re.sub(r"<[^>]*>", " ", get("description"))).split())
+            out.append({"url": get("link"), "title": get("title"), "description": text, "published_at": at[0], "source": get("source"), "ts": at[1]})
     return out
 
 
@@ -120,3 +135,44 @@ class ReplayReader(DataSourceReader):
 
         for x in windowed(pages(), self.after, self.before):
             yield (x["url"], x.get("title"), x.get("description"), x.get("published_at"), x.get("source"), x.get("ts"))
+
+
+class FeedSource(DataSource):
+    """``spark.read.format("news_feed").option("path", ...)``: recorded RSS documents.
+
+    With ``after`` and ``before`` only items of these days, or of unknown time, are given.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "news_feed"
+
+    def schema(self) -> str:
+        return ITEM
+
+    def reader(self, schema) -> FeedReader:
+        return FeedReader(self.options)
+
+
+class FeedPartition(InputPartition):
+    def __init__(self, files: list[str]):
+        super().__init__(files)
+
+
+class FeedReader(DataSourceReader):
+    #: Documents are spread over at most so many tasks.
+    PARTITIONS = 64
+
+    def __init__(self, options: dict):
+        self.path, self.after, self.before = options["path"].removeprefix("file:"), options.get("after", "0001-01-02"), options.get("before", "9998-12-30")
+
+    def partitions(self):
+        files = [os.path.join(self.path, f) for f in sorted(os.listdir(self.path)) if not f.startswith((".", "_"))]
+        return [FeedPartition(files[i :: self.PARTITIONS]) for i in range(min(self.PARTITIONS, len(files)))]
+
+    def read(self, partition):
+        for name in partition.value:
+            with open(name, encoding="utf-8") as f:
+                items = parse_feed(f.read())
+            for x in windowed(iter([items]), self.after, self.before):
+                yield (x["url"], x["title"], x["description"], x["published_at"], x["source"], x["ts"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,3 +107,37 @@ def write_new(df: DataFrame, path: str, force: bool = False) -> str:
         return "failed"
     write_ndjson(df, path)
     return "written"
+
+
+def write_counts(counts: DataFrame, path: str, name: str, value: str) -> dict[str, int]:
+    """Publishes a run's counters (name, value), of which there are few, as one JSON document and gives them."""
+    found = {r[0]: r[1] for r in counts.select(name, value).collect()}
+    spark = counts.sparkSession
+    one = spark.createDataFrame([(json.dumps(found, ensure_ascii=False, sort_keys=True),)], "value string")
+    publish(spark, lambda p: one.coalesce(1).write.text(p), path)
+    return found
+
+
+def once_only(spark: SparkSession, folder: str, name: str, work) -> bool:
+    """Calls ``work()`` unless it was done before; True if it ran.  The mark is made after the work, so a failure leaves it to do."""
+    flags = Versions(spark, f"{folder}/_done_{name}")
+    if flags.last() is not None:
+        return False
+    work()
+    flags.publish(0, {"done": name})
+    return True
+
+
+def export_delta(df: DataFrame, folder: str, now: str, instants: tuple[str, ...] = ("fetched_at", "matched_at")) -> str:
+    """Writes all rows at first and later those changed since the last run began; gives the export's folder.
+
+    The mark of a run is the time before it read, ``now``, and is published with what it
+    wrote, so what arrives meanwhile is exported twice rather than never.
+    """
+    spark = df.sparkSession
+    versions = Versions(spark, folder)
+    last = versions.last()
+    name = versions.stage()
+    delta(df, last[1]["mark"] if last else None, instants).write.option("ignoreNullFields", False).json(f"{folder}/{name}")
+    versions.publish(last[0] if last else 0, {"data": name, "mark": now})
+    return f"{folder}/{name}"
