@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsquarry.llm.canonical import canonical
-from newsquarry.session import small_enough
+from newsquarry.session import held_once, small_enough
 
 #: Words of a fingerprint, and of the shortest span that is always found.
 K = 6
@@ -119,9 +120,10 @@ def leaks(corpus: DataFrame, key: str, text: str, items: DataFrame, item_key: st
     if size <= MAX_ITEM_WORDS:
         rows = small_enough(wanted, MAX_ITEM_WORDS) or []
         sent = corpus.sparkSession.sparkContext.broadcast([(r.i, r.x) for r in rows])
+        mark = uuid.uuid4().hex
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Items([i for i, _ in sent.value], [x for _, x in sent.value], k, span)
+            index = held_once(mark, lambda: Items([i for i, _ in sent.value], [x for _, x in sent.value], k, span))
             for b in batches:
                 keys, ids, words = [], [], []
                 for key_, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):

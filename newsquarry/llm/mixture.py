@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import base64
 import math
+import os
+import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsquarry.session import cut
+from newsquarry.session import cut, held_once
 
 #: A rank file of a public tokenizer, and the pattern that splits text before its merges.
 RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -32,20 +33,30 @@ MAX_SOURCES = 100_000
 BLOCK = 1_000
 
 
-@lru_cache(2)
-def _encoding(ranks: str, pattern: str):
+#: Bytes up to which a rank file is sent to the workers; a larger one is refused.
+MAX_RANK_BYTES = 64 << 20
+
+
+def _encoding(ranks: bytes, pattern: str):
     import tiktoken
 
-    with open(ranks, "rb") as f:
-        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
 def with_tokens(df: DataFrame, text: str, ranks: str = RANKS, pattern: str = PATTERN) -> DataFrame:
-    """``df`` without ``text`` but with ``n_tokens``, the tokens of the whole text; null and empty texts have none."""
+    """``df`` without ``text`` but with ``n_tokens``, the tokens of the whole text; null and empty texts have none.
+
+    The rank file is read by the driver and sent with the job, so workers need no copy of it.
+    """
+    if os.path.getsize(ranks) > MAX_RANK_BYTES:
+        raise ValueError(f"{ranks} is larger than {MAX_RANK_BYTES} bytes")
+    with open(ranks, "rb") as f:
+        sent = df.sparkSession.sparkContext.broadcast(f.read())
+    mark = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = _encoding(ranks, pattern)
+        encoding = held_once(mark, lambda: _encoding(sent.value, pattern))
         for b in batches:
             at = b.schema.names.index(text)
             n = pa.array([len(encoding.encode_ordinary(t)) if t else 0 for t in b.column(at).to_pylist()], pa.int64())
