@@ -70,14 +70,18 @@ def domain_of(url: Column | str) -> Column:
 
 def article_id(url: Column | str, patterns: tuple[tuple[str, str], ...] = ID_PATTERNS, generic: str = GENERIC_ID) -> Column:
     """``site::number`` from the path, '' if there is none."""
-    c = canonical_url(url)
-    site, path = _part(c, 2), _part(c, 3)
-    found = []
-    for name, pattern in patterns:
-        number = F.regexp_extract(path, pattern, 1)
-        found.append(F.when(((site == name) | site.endswith("." + name)) & (number != ""), F.concat(F.lit(name + "::"), number)))
-    number = F.regexp_extract(path, generic, 1)
-    return F.coalesce(*found, F.when(number != "", F.concat(site, F.lit("::"), number)), F.lit(""))
+    u = _column(url)
+    host = _part(u, 2)
+    site, path = strip_host(host), strip_path(_part(u, 3))
+    # the site chooses the pattern, so that one pattern is tried a URL
+    name, number = F.lit(None).cast("string"), F.lit("")
+    for known, pattern in reversed(patterns):
+        fits = (site == known) | site.endswith("." + known)
+        name = F.when(fits, F.lit(known)).otherwise(name)
+        number = F.when(fits, F.regexp_extract(path, pattern, 1)).otherwise(number)
+    other = F.regexp_extract(path, generic, 1)
+    found = F.when(number != "", F.concat(name, F.lit("::"), number)).when(other != "", F.concat(site, F.lit("::"), other))
+    return F.coalesce(F.when(host != "", found), F.lit(""))
 
 
 def dedup_key(url: Column | str) -> Column:

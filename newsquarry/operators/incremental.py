@@ -16,14 +16,12 @@ current hashes.
 from __future__ import annotations
 
 import math
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsquarry.functions.dates import instant
-from newsquarry.session import cut, shared_dir
+from newsquarry.session import cut, scratch
 from newsquarry.sources.versions import Versions
 
 #: Each node has 16 children.
@@ -87,7 +85,7 @@ def due_records(records: DataFrame, log: DataFrame, key: str, instants: list[str
     depth = levels or levels_for(state.count())
     marks = cut(last_success(log, consumer).select(F.col(consumer).alias("consumer"), "mark"))
     chunks = max(1, -(-marks.count() // MAX_CONSUMERS))
-    folder = f"{shared_dir(spark)}/trees-{uuid.uuid4().hex}"
+    folder = scratch(spark, "trees")
     out = None
     for n in range(chunks):
         part = marks if chunks == 1 else marks.where(F.pmod(F.xxhash64("consumer"), F.lit(chunks)) == n)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsquarry.functions.text import editorial_body
-from newsquarry.session import cut, small_enough
+from newsquarry.session import cut, held_once, small_enough
 
 #: Aliases up to which the matcher is broadcast; a larger pool is refused, not cut.
 MAX_ALIASES = 1_000_000
@@ -124,11 +125,12 @@ def alias_hits(articles: DataFrame, index: DataFrame, key: str = "article_id", f
     if rows is None:
         raise ValueError(f"more than {MAX_ALIASES} aliases")
     sent = articles.sparkSession.sparkContext.broadcast(([tuple(r) for r in rows], blocked))
+    mark = uuid.uuid4().hex
     columns = [editorial_body(f).alias(f) if f == "body" else F.col(f) for f in fields]
     bare = [f != "body" for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(*sent.value)
+        matcher = held_once(mark, lambda: Matcher(*sent.value))
         for b in batches:
             out: list[list] = [[] for _ in range(6)]
             keys = b.column(0).to_pylist()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from newsquarry.operators import classify, cluster, enrich, ingest, match, tasks
 from newsquarry.plans import pipeline
 from newsquarry.plans.event_query import EventQuery, headline, label
 from newsquarry.queries import query
-from newsquarry.session import cut, shared_dir, table
+from newsquarry.session import cut, scratch, table
 from newsquarry.sources import files, sinks
 from newsquarry.streaming import ingest as streaming
 
@@ -366,8 +364,9 @@ def _clustered(spark, root) -> DataFrame:
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/articles.parquet")
     status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
     mark = (spark.sparkContext.applicationId, root, status.getModificationTime(), len(articles.inputFiles()))
-    if mark not in _written:
-        at = f"{shared_dir(spark)}/clustered-{uuid.uuid4().hex}"
+    there = mark in _written and path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(_written[mark]))
+    if not there:
+        at = scratch(spark, "clustered")
         cluster.clustered(cut(cluster.prepared(_attributed(spark, root)))).write.parquet(at)
         _written[mark] = at
     return spark.read.parquet(_written[mark])
@@ -506,7 +505,7 @@ def str_windows(spark, root):
 def str_first(spark, root):
     """STR-08: a stream of arrivals, each key once, one file a batch."""
     stream = streaming.stream_of(spark, f"{root}/articles.parquet", 1).select("article_id", dates.instant("fetched_at").alias("at"))
-    return streaming.first_arrivals(stream, ["article_id"], "at", f"{shared_dir(spark)}/first-{uuid.uuid4().hex}").select("article_id")
+    return streaming.first_arrivals(stream, ["article_id"], "at", scratch(spark, "first")).select("article_id")
 
 
 # ---- profiles, labels, sets, ages -------------------------------------------------------------------------------
@@ -680,7 +679,7 @@ def str_done(spark, root):
 def src_pool(spark, root):
     """SRC-06, SNK-06: alias documents, one a company, written and read again."""
     lists = [F.collect_set(F.when(F.col("alias_kind") == k, F.col("alias"))).alias(k) for k in files.KINDS]
-    at = f"{shared_dir(spark)}/pool-{uuid.uuid4().hex}"
+    at = scratch(spark, "pool")
     table(spark, root, "company_aliases").groupBy("ticker").agg(*lists).repartition("ticker").write.option("maxRecordsPerFile", 1).json(at)
     return files.alias_pool(spark, at).select("ticker", "alias", "alias_kind").distinct()
 
@@ -688,7 +687,7 @@ def src_pool(spark, root):
 @query("src_companies", "SELECT trim(ticker) AS ticker, trim(company_name) AS company_name FROM companies")
 def src_companies(spark, root):
     """SRC-07: the company table as CSV, written and read again."""
-    at = f"{shared_dir(spark)}/companies-{uuid.uuid4().hex}"
+    at = scratch(spark, "companies")
     table(spark, root, "companies").select("ticker", F.col("company_name").alias("name")).write.option("header", True).csv(at)
     return files.companies(spark, at).select("ticker", "company_name")
 
@@ -696,7 +695,7 @@ def src_companies(spark, root):
 @query("src_documents", f"WITH {_HITS} SELECT ticker, article_id, location FROM hits")
 def src_documents(spark, root):
     """SRC-09, SNK-02: company documents, written and read again."""
-    at = f"{shared_dir(spark)}/documents-{uuid.uuid4().hex}"
+    at = scratch(spark, "documents")
     rows = _hits(spark, root).join(once(spark, root, "title", "published_at").select("article_id", "title", "published_at"), "article_id").select("ticker", "article_id", "title", "published_at", "location")
     sinks.write_ndjson(sinks.company_documents(rows), at)
     return files.ticker_documents(spark, sinks.published(spark, at)).select("ticker", "article_id", "location")
@@ -705,7 +704,7 @@ def src_documents(spark, root):
 @query("src_events", f"WITH RECURSIVE {_VIEW} SELECT id, ticker, date, sources_count FROM v")
 def src_events(spark, root):
     """SRC-14, SNK-03: the list of events, written in order and read again."""
-    at = f"{shared_dir(spark)}/events-{uuid.uuid4().hex}"
+    at = scratch(spark, "events")
     view = _view(spark, root)
     sinks.write_ordered(view, at, F.desc("date"), "ticker", "id")
     return spark.read.schema(view.schema).json(sinks.published(spark, at)).select("id", "ticker", "date", "sources_count")

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import json
-import uuid
-
 from pyspark.sql import functions as F
 
 from newsquarry.functions import text
 from newsquarry.operators import classify, cluster, enrich, match, tasks, workers
 from newsquarry.plans.registered import _EDITORIAL, _EVENTS, _HITS, _INDEX, _JUDGED, _ONCE, _SCOPES, _attributed, _hits, _instant, _members, once
 from newsquarry.queries import query
-from newsquarry.session import shared_dir, table
+from newsquarry.session import scratch, table
 from newsquarry.sources import connectors, sinks
 from newsquarry.sources.registry import register_connectors
 
@@ -76,7 +74,7 @@ def txt_two_stage(spark, root):
 @query("txt_stoplist", f"WITH {_HITS.replace('FROM company_aliases WHERE', 'FROM company_aliases WHERE upper(trim(alias)) NOT IN (SELECT upper(short_name) FROM companies WHERE short_name IS NOT NULL) AND')} SELECT * FROM hits")
 def txt_stoplist(spark, root):
     """TXT-06: hits with a stop-list and blocked contexts from tables, the second of which is missing."""
-    at = f"{shared_dir(spark)}/stops-{uuid.uuid4().hex}"
+    at = scratch(spark, "stops")
     table(spark, root, "companies").select("short_name").write.parquet(at)
     index = match.alias_index(table(spark, root, "company_aliases"), match.optional_list(spark, at, "short_name"))
     return match.alias_hits(once(spark, root, "title", "description", "sapo", "body"), index, blocked=match.optional_list(spark, f"{at}-none", "context")).select("article_id", "ticker", "location")
@@ -144,7 +142,7 @@ def txt_outcomes(spark, root):
 @query("snk_counters", f"WITH {_OUTCOMES} SELECT outcome, count(*) AS n FROM oc GROUP BY 1")
 def snk_counters(spark, root):
     """SNK-05: the counters of a match run, published as a JSON document and read again."""
-    at = f"{shared_dir(spark)}/counters-{uuid.uuid4().hex}"
+    at = scratch(spark, "counters")
     sinks.write_counts(_outcomes(spark, root), at, "outcome", "n")
     found = spark.read.text(sinks.published(spark, at)).select(F.explode(F.from_json("value", "map<string,long>")))
     return found.select(F.col("key").alias("outcome"), F.col("value").alias("n"))
@@ -273,7 +271,7 @@ def src_feed(spark, root):
     item = F.concat(F.lit("<item><link>"), escaped(F.col("url_canonical")), F.lit("</link><title>"), escaped(F.trim(F.col("title"))), F.lit("</title><description>&lt;b&gt;x&lt;/b&gt;</description>"), date, F.lit("</item>"))
     # a document holds the items of a 256th of all addresses
     docs = rows.select(F.substring(F.sha1(F.encode("url_canonical", "UTF-8")), 1, 2).alias("p"), item.alias("i")).groupBy("p").agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.collect_list("i"), ""), F.lit("</channel></rss>")).alias("value"))
-    at = f"{shared_dir(spark)}/feed-{uuid.uuid4().hex}"
+    at = scratch(spark, "feed")
     docs.select("value").write.option("maxRecordsPerFile", 1).text(at)
     register_connectors(spark, {"news_feed": f"{connectors.__name__}:FeedSource"})
     return spark.read.format("news_feed").option("path", at).load().select("url", "title", "published_at").distinct()
@@ -282,7 +280,7 @@ def src_feed(spark, root):
 @query("snk_export", f"SELECT 1 AS run, count(*) AS n FROM articles UNION ALL SELECT 2, count(*) FROM articles WHERE {_instant('fetched_at')} >= {_AT} OR {_instant('matched_at')} >= {_AT}")
 def snk_export(spark, root):
     """SNK-01: a first export of everything and a second one of what changed since the mark the first saved."""
-    at = f"{shared_dir(spark)}/export-{uuid.uuid4().hex}"
+    at = scratch(spark, "export")
     rows = table(spark, root, "articles").select("article_id", "fetched_at", "matched_at")
     made = [spark.read.schema(rows.schema).json(sinks.export_delta(rows, at, now)).select(F.lit(n).alias("run")) for n, now in ((1, NOW), (2, "2026-02-01T00:00:00Z"))]
     return made[0].unionByName(made[1]).groupBy("run").agg(F.count(F.lit(1)).alias("n"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +44,37 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_scratch: dict[str, list[str]] = {}
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path below the shared folder, which ``clear_scratch`` deletes."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Deletes the folders this session made with ``scratch``, whose tables must not be read any more; returns how many."""
+    paths = _scratch.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
+
+
+_held: dict[str, object] = {}
+
+
+def held_once(mark: str, make):
+    """What ``make()`` gives, made once in a worker's process for a mark; the last two marks are kept."""
+    if mark not in _held:
+        while len(_held) > 1:
+            _held.pop(next(iter(_held)))
+        _held[mark] = make()
+    return _held[mark]
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back, without its lineage."""
     shared_dir(df.sparkSession)

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsquarry.session import shared_dir
+from newsquarry.session import scratch
 from newsquarry.sources.versions import Versions
 
 
@@ -28,7 +26,7 @@ def stream_of(spark: SparkSession, path: str, files_per_batch: int | None = 16)
 def drain(df: DataFrame, mode: str = "append") -> DataFrame:
     """Runs the stream over all there is and gives what it wrote, as a table in the shared folder."""
     spark = df.sparkSession
-    at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    at = scratch(spark, "stream")
     writer = df.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", f"{at}/state")
     writer.format("parquet").start(f"{at}/rows").awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{at}/rows")
