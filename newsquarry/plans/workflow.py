@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from pyspark.sql import functions as F
 
-from newsquarry.functions import text
+from newsquarry.functions import profile, text
 from newsquarry.operators import classify, cluster, enrich, match, tasks, workers
 from newsquarry.plans.registered import _EDITORIAL, _EVENTS, _HITS, _INDEX, _JUDGED, _ONCE, _SCOPES, _attributed, _hits, _instant, _members, once
 from newsquarry.queries import query
@@ -284,3 +284,27 @@ def snk_export(spark, root):
     rows = table(spark, root, "articles").select("article_id", "fetched_at", "matched_at")
     made = [spark.read.schema(rows.schema).json(sinks.export_delta(rows, at, now)).select(F.lit(n).alias("run")) for n, now in ((1, NOW), (2, "2026-02-01T00:00:00Z"))]
     return made[0].unionByName(made[1]).groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- company profiles --------------------------------------------------------------------------------------------
+_PLACES = "pl AS (SELECT list(DISTINCT lower(trim(alias))) AS places FROM company_aliases WHERE alias_kind = 'locations' AND length(trim(alias)) > 0), co AS (SELECT c.*, (SELECT min(trim(alias)) FROM company_aliases x WHERE x.ticker = c.ticker AND alias_kind = 'locations') AS place FROM companies c)"
+
+
+@query(
+    "scl_profile",
+    f"WITH {_PLACES} SELECT ticker, CASE WHEN short_name IS NULL THEN trim(company_name || coalesce(' - ' || place, '')) ELSE trim(company_name) END AS full_name, trim(short_name) AS short, 'Số 5, ' || place AS address, "
+    r"CASE WHEN place IS NULL THEN '' ELSE array_to_string(list_sort(list_filter(places, lambda p: contains(lower(place), p))), ', ') END AS places, trim(regexp_replace(company_name || ' Ba', '\s+', ' ', 'g')) AS subsidiary FROM co, pl",
+)
+def scl_profile(spark, root):
+    """SRC-12, SCL-25, SCL-28, SCL-29: names, address, places and subsidiaries read from profile pages made of the company table; the places come from a table."""
+    aliases = table(spark, root, "company_aliases").where("alias_kind = 'locations' AND length(trim(alias)) > 0")
+    listed = sorted({r[0] for r in match.small_enough(aliases.select(F.lower(F.trim("alias"))).distinct(), match.MAX_ALIASES) or []})
+    place = aliases.groupBy("ticker").agg(F.min(F.trim("alias")).alias("place"))
+    c = table(spark, root, "companies").join(place, "ticker", "left")
+    tail = F.coalesce(F.concat(F.lit(" - "), F.coalesce("short_name", "place")), F.lit(""))
+    data = F.to_json(F.struct(F.concat("ticker", F.lit(": "), "company_name", tail, F.lit(" - Hồ sơ doanh nghiệp | Trang")).alias("headline")))
+    rows = F.concat("company_name", F.lit(" Ba 85,000 ( Tr. VND ) 75,5 "), "company_name", F.lit(" Bốn 1,000 ( Tr. VND ) 50 "))
+    page = F.concat(F.lit('<title>x</title><script type="application/ld+json">'), data, F.lit("</script><p>Trụ sở chính</p><span>Địa chỉ </span> <td class=a> Số 5,  "), F.coalesce("place", F.lit("")), F.lit(". </td>"))
+    parts = profile.headline_parts(profile.page_headline(page), tuple(listed))
+    address = F.when(F.col("place").isNotNull(), profile.page_address(page))
+    return c.select("ticker", parts["full"].alias("full_name"), parts["short"].alias("short"), address.alias("address"), F.array_join(profile.locations(address, listed), ", ").alias("places"), F.get(profile.subsidiaries_of_text(rows), 0)["name"].alias("subsidiary"))
