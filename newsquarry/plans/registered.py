@@ -708,10 +708,3 @@ def src_events(spark, root):
     view = _view(spark, root)
     sinks.write_ordered(view, at, F.desc("date"), "ticker", "id")
     return spark.read.schema(view.schema).json(sinks.published(spark, at)).select("id", "ticker", "date", "sources_count")
-
-
-@query("run_daily")
-def run_daily(spark, root):
-    """RUN-01, RUN-03, UDF-07, TXT-09: the stages of a daily run; events by company."""
-    out = pipeline.run("daily", {n: table(spark, root, n) for n in ("articles", "company_aliases")})
-    return out["events"].groupBy("ticker").agg(F.countDistinct("event_key").alias("events"), F.count(F.lit(1)).alias("articles"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsquarry.functions import profile, text
 from newsquarry.operators import classify, cluster, enrich, match, tasks, workers
+from newsquarry.plans import pipeline
 from newsquarry.plans.registered import _EDITORIAL, _EVENTS, _HITS, _INDEX, _JUDGED, _ONCE, _SCOPES, _attributed, _hits, _instant, _members, once
 from newsquarry.queries import query
 from newsquarry.session import scratch, table
@@ -261,6 +262,14 @@ def enr_run(spark, root):
     return enrich.enrichment(pending, taken, _sentiment, _english, _judge).select("article_id", "enrich_status", "controversy_level", "route")
 
 
+# ---- a whole run -------------------------------------------------------------------------------------------------
+@query("run_daily")
+def run_daily(spark, root):
+    """RUN-01, RUN-03, TXT-09: the stages of a daily run; events by company."""
+    out = pipeline.run("daily", {n: table(spark, root, n) for n in ("articles", "company_aliases")})
+    return out["events"].groupBy("ticker").agg(F.countDistinct("event_key").alias("events"), F.count(F.lit(1)).alias("articles"))
+
+
 # ---- feeds and exports -------------------------------------------------------------------------------------------
 @query("src_feed", "SELECT DISTINCT url_canonical AS url, trim(title) AS title, coalesce(CASE WHEN regexp_full_match(left(published_at, 10), '\\d{4}-\\d{2}-\\d{2}') THEN strftime(TRY_CAST(left(published_at, 10) AS DATE), '%Y-%m-%d') END, '') AS published_at FROM articles WHERE length(trim(title)) > 0")
 def src_feed(spark, root):
