@@ -11,10 +11,12 @@ from pyspark.sql import SparkSession
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="newsquarry", description=__doc__)
     sub = top.add_subparsers(dest="command", required=True)
-    sub.add_parser("list", help="names of all queries")
+    names = sub.add_parser("list", help="names of all queries")
     one = sub.add_parser("query", help="run a query over a folder of tables")
     one.add_argument("name")
     one.add_argument("tables")
+    for p in (names, one):
+        p.add_argument("--queries", default="newsquarry.queries", help="module that registers the queries")
     mode = sub.add_parser("run", help="run a mode of the pipeline over a folder of tables")
     mode.add_argument("mode")
     mode.add_argument("tables")
@@ -28,19 +30,15 @@ def parser() -> argparse.ArgumentParser:
 
 def main(arguments: list[str] | None = None) -> int:
     args = parser().parse_args(arguments)
-    from newsquarry import queries
     from newsquarry.plans import pipeline
     from newsquarry.session import table
 
-    known = dict(queries.QUERIES)
-    if importlib.util.find_spec("newsquarry.llm"):
-        known |= importlib.import_module("newsquarry.llm.queries").QUERIES
     if args.command == "list":
-        print("\n".join(sorted(known)))
+        print("\n".join(sorted(importlib.import_module(args.queries).QUERIES)))
         return 0
     spark = SparkSession.builder.appName("newsquarry").getOrCreate()
     if args.command == "query":
-        made = {args.name: known[args.name](spark, args.tables)}
+        made = {args.name: importlib.import_module(args.queries).QUERIES[args.name](spark, args.tables)}
     else:
         tables = {n: table(spark, args.tables, n) for n in ("articles", "company_aliases")}
         if args.rematch:

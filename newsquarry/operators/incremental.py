@@ -187,21 +187,21 @@ class ChangeStore:
         number, contents = self.store.last()
         return f"{self.folder}/{contents['outputs'][str(version or number)]}/output"
 
-    def _entries(self, records: DataFrame) -> DataFrame:
-        """One row a key: a hash that any changed row of the key changes."""
-        h = F.xxhash64(*[F.col(c) for c in [self.key, *self.columns]])
-        return records.where(F.col(self.key).isNotNull()).select(F.col(self.key).alias("k"), h.alias("h")).distinct().groupBy("k").agg(F.bit_xor("h").alias("h"))
+    def _hash(self) -> Column:
+        return F.xxhash64(*[F.col(c) for c in [self.key, *self.columns]])
 
     def run(self, records: DataFrame, write) -> int:
         """Calls ``write(changed_rows, folder)`` for the rows of new and changed keys; returns the new version.
 
         Removed keys change the tree but give no rows.  Without any change no version is made and the last is returned.
-        ``records`` is evaluated once; a row that arrives meanwhile is left to the next run.
+        What was seen of ``records`` is written first, as hashes: output, entries and tree are
+        all of that state, and a row that arrives meanwhile is left to the next run.
         """
         last = self.store.last()
         number, known = last if last else (0, None)
-        records = cut(records)
-        entries = cut(self._entries(records))
+        seen = cut(records.where(F.col(self.key).isNotNull()).select(F.col(self.key).alias("k"), self._hash().alias("row")).distinct())
+        # one entry a key, which any changed row of the key changes
+        entries = cut(seen.groupBy("k").agg(F.bit_xor("row").alias("h")))
         count = entries.count()
         levels = self.levels or levels_for(count)
         if known and (self.levels or known["levels"] == levels or count < (LEAF_KEYS << FANOUT_BITS * known["levels"]) << FANOUT_BITS):
@@ -227,7 +227,9 @@ class ChangeStore:
                 saved = self._saved(held.select("source").distinct(), held)
         opened = entries if whole else entries.join(leaves, "leaf", "left_semi")
         changed = opened.select("k") if saved is None else opened.join(saved, "k", "left").where("old_h IS NULL OR old_h <> h").select("k")
-        write(records.join(changed.withColumnRenamed("k", self.key), self.key, "left_semi"), f"{self.folder}/{name}/output")
+        rows = seen.join(changed, "k", "left_semi")
+        new = records.withColumn("_row", self._hash())
+        write(new.join(rows, (new[self.key] == rows["k"]) & (new["_row"] == rows["row"]), "left_semi").drop("_row"), f"{self.folder}/{name}/output")
         fresh = current.join(leaves, "leaf", "left_semi").withColumn("source", F.lit(name))
         if old_tree is not None and not whole:
             kept = old_tree.join(leaves, "leaf", "left_anti")

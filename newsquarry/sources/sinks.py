@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsquarry.functions.dates import instant
@@ -69,11 +69,12 @@ def newest_of(spark: SparkSession, paths: list[str]) -> str | None:
     return None
 
 
-def company_documents(matches: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """(ticker, articles): matches as one document a company, each article once, newest first, undated last.
+def company_documents(matches: DataFrame, existing: DataFrame | None = None, page: int = 10_000) -> DataFrame:
+    """(ticker, page, articles): matches as documents of a company, each article once, newest first, undated last.
 
-    Matches that are already in ``existing`` (same columns) are not taken again.  A
-    company's articles are gathered for its document; as a table, partition the matches by ticker instead.
+    Matches that are already in ``existing`` (same columns) are not taken again.  A document
+    holds at most ``page`` articles; a company with more has several, numbered from 0 in
+    order.  Places are counted by days, so no task orders a whole company.
     """
     rows = matches
     if existing is not None:
@@ -81,8 +82,14 @@ def company_documents(matches: DataFrame, existing: DataFrame | None = None) ->
     rows = rows.dropDuplicates(["ticker", "article_id"])
     fields = [c for c in rows.columns if c != "ticker"]
     entry = F.struct(F.coalesce("published_at", F.lit("")).alias("_d"), *[F.col(c) for c in fields])
-    docs = rows.groupBy("ticker").agg(F.sort_array(F.collect_list(entry), asc=False).alias("x"))
-    return docs.select("ticker", F.transform("x", lambda e: F.struct(*[e[c].alias(c) for c in fields])).alias("articles"))
+    rows = rows.select("ticker", F.substring(F.coalesce("published_at", F.lit("")), 1, 10).alias("_day"), entry.alias("_e"))
+    days = rows.groupBy("ticker", "_day").agg(F.count(F.lit(1)).alias("_n"))
+    newer = Window.partitionBy("ticker").orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("ticker", "_day", F.coalesce(F.sum("_n").over(newer), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("ticker", "_day").orderBy(F.desc("_e")))
+    placed = rows.withColumn("_k", inside).join(days, ["ticker", "_day"]).withColumn("page", F.floor((F.col("_before") + F.col("_k") - 1) / page).cast("int"))
+    docs = placed.groupBy("ticker", "page").agg(F.sort_array(F.collect_list("_e"), asc=False).alias("x"))
+    return docs.select("ticker", "page", F.transform("x", lambda e: F.struct(*[e[c].alias(c) for c in fields])).alias("articles"))
 
 
 def write_ndjson(df: DataFrame, path: str) -> None:

@@ -312,6 +312,7 @@ def test_files_and_sinks(spark, tmp_path):
     m = spark.createDataFrame([("A", "1", "2024-01-01"), ("A", "2", None), ("A", "3", "2024-02-01"), ("A", "1", "2024-01-01")], "ticker string, article_id string, published_at string")
     old = spark.createDataFrame([("A", "1", "2024-01-01")], "ticker string, article_id string, published_at string")
     assert [x.article_id for x in sinks.company_documents(m, old).first().articles] == ["3", "1", "2"]
+    assert [(r.page, [x.article_id for x in r.articles]) for r in sinks.company_documents(m, old, page=2).orderBy("page").collect()] == [(0, ["3", "1"]), (1, ["2"])]
     sinks.write_ndjson(m, str(tmp_path / "out"))
     sinks.write_ndjson(m, str(tmp_path / "out"))
     assert spark.read.json(sinks.published(spark, str(tmp_path / "out"))).count() == 4 and sinks.newest_of(spark, [str(tmp_path / "none"), str(tmp_path / "out")]) == sinks.published(spark, str(tmp_path / "out"))
