@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from newsquarry.functions import dates, html, profile, text, url
 from newsquarry.operators import classify, cluster, enrich, ingest, match, tasks
 from newsquarry.plans.event_query import EventQuery, headline, label
-from newsquarry.queries import query
+from newsquarry.registry import query
 from newsquarry.session import cut, scratch, table
 from newsquarry.sources import files, sinks
 from newsquarry.streaming import ingest as streaming

@@ -9,7 +9,7 @@ from newsquarry.functions import profile, text
 from newsquarry.operators import classify, cluster, enrich, match, tasks, workers
 from newsquarry.plans import pipeline
 from newsquarry.plans.registered import _EDITORIAL, _HITS, _INDEX, _JUDGED, _ONCE, _SCOPES, _attributed, _hits, _instant, _members, once
-from newsquarry.queries import query
+from newsquarry.registry import query
 from newsquarry.session import scratch, table
 from newsquarry.sources import connectors, sinks
 from newsquarry.sources.registry import register_connectors

@@ -2,29 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from newsquarry.operators.incremental import due_records
+from newsquarry.registry import QUERIES, SQL, query  # noqa: F401
 from newsquarry.session import table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    """Registers a query function and, where SQL can say the same, its SQL."""
-
-    def add(f):
-        QUERIES[name] = f
-        if sql is not None:
-            SQL[name] = sql
-        return f
-
-    return add
-
-
 _SQL_INSTANT = """CASE WHEN regexp_full_match(trim({0}), '\\d{{4}}-\\d{{2}}-\\d{{2}}[T ]\\d{{2}}:\\d{{2}}:\\d{{2}}(\\.\\d+)?(Z|[+-]\\d{{2}}:\\d{{2}})?')
  THEN CAST(CASE WHEN regexp_matches(trim({0}), '(Z|[+-]\\d{{2}}:\\d{{2}})$') THEN trim({0}) ELSE trim({0}) || 'Z' END AS TIMESTAMPTZ) END"""
 

@@ -1,6 +1,8 @@
 """The driver's contract, streams, and every core query against its SQL."""
 
 import os
+import subprocess
+import sys
 from datetime import datetime
 
 import duckdb
@@ -43,6 +45,14 @@ def test_entry(spark, small):
         assert entry.entry(spark).count() > 0
 
 
+@pytest.mark.parametrize("module", ["newsquarry.plans.registered", "newsquarry.plans.workflow", "newsquarry.queries", "__spark_entry__"])
+def test_modules_are_imported_in_any_order(module):
+    # a worker that is new imports the module of an injected function first, as for udf_negative
+    home = os.path.dirname(os.path.abspath(entry.__file__))
+    r = subprocess.run([sys.executable, "-c", f"import {module}, newsquarry.queries as q; print(len(q.QUERIES))"], cwd=home, capture_output=True, text=True, timeout=120)
+    assert r.returncode == 0 and int(r.stdout) == len(CORE), r.stderr
+
+
 def test_merge_stream_repeats_nothing(spark, tmp_path):
     from newsquarry.operators.ingest import merge_by_key
 
