@@ -87,6 +87,50 @@ def test_templates_decide_where_no_seed_does(spark, monkeypatch):
     assert len({residue.TemplateTree(similarity=0.6).add(residue.tokens_of(b)) for _, b, _ in unknown}) == 1
 
 
+# long, of sentences that differ, and but for one line page furniture, so no residue by its length or its repeats
+LONG_ERROR = "404 Not Found\nTin liên quan\n" + "\n".join(f"• {i}{w} bị phạt vì xả thải ra sông Cái lần thứ {i}" for i, w in enumerate(("Tavoco Drimex Fadeco Hazeco Kelora Rimoda Bokasa Cevito Rakovi Uvitra Zuvina Mocnha " * 2).split()))
+
+
+def test_all_messages_of_long_bodies_are_mined(spark):
+    assert len(LONG_ERROR) > 900 and verdict(LONG_ERROR) == "error"
+    long = "\n".join([REPORT, *(f"Ý {'abcdefghijklmnopqrst'[i]} của đoàn kiểm tra nói về cửa xả thứ {i} và cách xử lý." for i in range(18))])
+    flash = [(f"f{i}", "Giá gạo hôm nay đứng yên.", f"s{i % 4}.vn") for i in range(6)]
+    in_reports = [(f"r{i}", f"{long}\nGiá gạo hôm nay đứng yên.", f"s{i}.vn") for i in range(2)]
+    df = spark.createDataFrame([("e", LONG_ERROR, "a.vn"), *flash, *in_reports], "k string, b string, domain string")
+    assert len(long) > 900
+    n = {r.template: r.n for r in mine_templates(df, "k", "b", "domain").collect()}
+    assert n["giá gạo hôm nay đứng yên."] == 8 and n["người dân nói gì"] == 2
+    # what stands in reports too is no stock message, so the short bodies are no residue
+    assert {r.k: r["class"] for r in find_residue(df, "k", "b", "domain").collect()} == {"e": "error"}
+    assert {r.k for r in find_residue(df.where("k < 'r'"), "k", "b", "domain").collect()} == {"e", *(k for k, _, _ in flash)}
+    assert {r.k for r in find_furniture(df, "k", "b", "domain").collect()}.isdisjoint({"e"})
+
+
+def test_a_long_report_that_mentions_an_error_gives_no_company(spark):
+    rest = [f"{w} người dân ở hạ lưu kể lại việc cá chết hàng loạt sau đêm mưa lớn." for w in ("Ba", "Bốn", "Năm", "Sáu", "Bảy", "Tám", "Chín", "Mười", "Trăm", "Ngàn", "Vạn", "Triệu", "Tỷ", "Vài")]
+    report = "\n".join([*rest, "Lỗi hệ thống khiến trạm đo không gửi được số liệu."])
+    df = spark.createDataFrame([(f"k{i}", f"{report}\nSố {i} ghi nhận.", f"s{i}.vn") for i in range(5)], "k string, b string, domain string")
+    assert len(report) > 900 and find_residue(df, "k", "b", "domain").count() == 0
+
+
+def test_wildcards_take_in_no_other_messages():
+    t = TemplateTree()
+    reports = ["tại dây chuyền cán thép chỉ chạy 9 giờ mỗi ngày.", "tại dịch vụ cảng cạn chỉ chạy 9 giờ mỗi ngày.", "tại tổ hợp phân bón chỉ chạy 9 tiếng mỗi ngày.", "tại tổ hợp phân bón chỉ chạy 9 giờ mỗi ngày!", "ở đội tàu ven bờ chỉ chạy 9 giờ mỗi ngày."]
+    joined = {t.add(residue.tokens_of(f"hệ thống lọc {x}")) for x in reports}
+    assert len(joined) < len(reports) and t.add(residue.tokens_of("hệ thống đang bảo trì, mời quý độc giả quay lại sau 9 phút.")) not in joined
+
+
+def test_leaves_passed_over_hold_no_class(spark, monkeypatch):
+    bodies = [*BAD, *GOOD, LONG_ERROR, *(f"Quý khách chờ giây lát {w}, mã 1" for w in ("nhé", "nha", "ạ")), *(f"404 Not Found\nMáy phục vụ số hiệu S{i} ngày nghỉ." for i in range(4))]
+    rows = [(f"{i}-{j}", b, f"s{j}.vn") for i, b in enumerate(bodies) for j in range(3)]
+    df = spark.createDataFrame(rows + rows[:9], "k string, b string, domain string")
+    some = sorted(map(tuple, find_residue(df, "k", "b", "domain").collect()))
+    monkeypatch.setattr(residue, "LEAF_BUCKETS", 1)  # all leaves together, so none is passed over
+    assert some == sorted(map(tuple, find_residue(df, "k", "b", "domain").collect())) and len(some) > 20
+    monkeypatch.setattr(residue, "MAX_IDS", 0)  # repeated rows are joined
+    assert some == sorted(map(tuple, find_residue(df, "k", "b", "domain").collect()))
+
+
 def test_near_duplicates_leave_out_what_is_residue(spark, tmp_path):
     from newsquarry.llm import queries
 
