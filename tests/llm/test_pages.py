@@ -113,6 +113,18 @@ def test_a_long_report_that_mentions_an_error_gives_no_company(spark):
     assert len(report) > 900 and find_residue(df, "k", "b", "domain").count() == 0
 
 
+def test_one_split_serves_messages_and_words(monkeypatch):
+    text = "Menu: Trang chủ | Home\n Giá 10.000đ tăng!  Lỗi 404…Không. Hết?\tΟΔΟΣ x² 3\n\nİSTANBUL. \u2028 Chờ"
+    seen = []
+    monkeypatch.setattr(residue, "_tokens", residue.Remembered(lambda t: seen.append(t) or residue._token(t), 100))
+    own = []
+    found = residue.page_messages(text, [0], text.lower(), own)
+    assert found == residue.page_messages(text, [0]) and sorted(seen) == sorted(set(text.lower().split()))
+    assert own == text.lower().split("\n", 1)[1].split()
+    assert [m[:3] for m in found] == [(0, 0, 1), *((1, i, 4) for i in range(4)), (3, 0, 2), (3, 1, 2)]
+    assert [m[4] for m in found][1:5] == ["giá <*> tăng!", "lỗi <*>", "hết?", "οδος <*> <*>"]
+
+
 def test_wildcards_take_in_no_other_messages():
     t = TemplateTree()
     reports = ["tại dây chuyền cán thép chỉ chạy 9 giờ mỗi ngày.", "tại dịch vụ cảng cạn chỉ chạy 9 giờ mỗi ngày.", "tại tổ hợp phân bón chỉ chạy 9 tiếng mỗi ngày.", "tại tổ hợp phân bón chỉ chạy 9 giờ mỗi ngày!", "ở đội tàu ven bờ chỉ chạy 9 giờ mỗi ngày."]

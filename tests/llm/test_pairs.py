@@ -98,6 +98,34 @@ def test_joined_second_look(spark, monkeypatch):
     assert got and got <= set(brute_pairs([(i, x) for i, x in enumerate(t)], 3, 0.6))
 
 
+ODD = "Một_hai ba,bốn - 10.000 d'Or İSTANBUL ΟΔΟΣ. x² -- _ 日本，語 " + "dài" * 50 + "!"
+
+
+def test_pieces_are_parted_into_words_once(monkeypatch):
+    want = [neardup._hash(w) for w in words_of(ODD)]
+    seen = []
+    monkeypatch.setattr(neardup, "words_of", lambda t: seen.append(t) or words_of(t))
+    for n in (neardup._pieces, neardup._several):
+        n.clear()
+    assert neardup.text_hashes(ODD.split()).tolist() == neardup.text_hashes(ODD.lower().split()).tolist() == want
+    seen.clear()
+    assert neardup.text_hashes(ODD.split()).tolist() == want and seen == [t for t in ODD.split() if len(t) > 64]
+    assert len(neardup.text_hashes([])) == 0 and len(neardup.text_hashes(["-", "_"])) == 0
+    runs = neardup.runs_of(neardup.text_hashes("a b a b a b".split()), 3)
+    assert len(runs) == 4 and (neardup.minhash(runs) == neardup.minhash(shingles("a b a b a b".split(), 3))).all()
+
+
+def test_only_bands_frequent_in_a_sample_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 1_200)
+    r = random.Random(4)
+    docs = [(r.randrange(-(1 << 63), 1 << 63), [1 if i < 3_000 else -i, 2 if i < 1_000 else -i, 3 if i < 1_200 else -i]) for i in range(4_000)]
+    df = spark.createDataFrame(docs, "doc long, bands array<long>")
+    assert [tuple(x) for x in neardup._hot_bands(df).collect()] == [(1, 3_000)]
+    assert neardup._hot_bands(df.where("false")) is None
+    monkeypatch.setattr(neardup, "BLOCK", 3_000)
+    assert neardup._hot_bands(df) is None
+
+
 def longest(a, b):
     best = 0
     for i in range(len(a)):
